@@ -32,11 +32,12 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def select_columns(df: DataFrame, select, ignore_unknown: bool = False) -> DataFrame:
+def select_columns(df: DataFrame, select, ignore_unknown: bool = False, also=()) -> DataFrame:
     """Pick columns by name, ``*`` or ``expression as alias``.
 
     ``ignore_unknown`` drops names the input does not have (the rule for
-    in-memory rows); selecting nothing but unknown names is an error.
+    in-memory rows); selecting nothing but unknown names is an error. Columns
+    in ``also`` are kept whether selected or not.
     """
     items = as_list(select) if not isinstance(select, str) else split_top_level(select)
     if not items:
@@ -46,6 +47,8 @@ def select_columns(df: DataFrame, select, ignore_unknown: bool = False) -> DataF
         if not known:
             raise ValueError(f"none of the selected columns exist: {items}")
         items = known
+    if "*" not in items:
+        items = items + [c for c in also if c not in items]
     return df.select(*[column(i) if i in df.columns else F.expr(i) for i in items])
 
 
