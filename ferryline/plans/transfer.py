@@ -159,9 +159,15 @@ class Transfer:
             return VersionedDataset(self.spark, paths[0]).read()
         options = self.src_options.overlay(SourceOptions())
         options.limit = options.offset = options.transforms = None
+        # Columns cast after the select need no inference. Times in a format of
+        # their own are the exception: the reader knows the format.
+        own = self.columns or {}
+        timed = {c: t for c, t in own.items() if options.datetime_format
+                 and shape.spark_type(t).startswith("timestamp")}
         return read_files(self.spark, paths, options,
                           stream_url=self._env_switch("STREAM_URL_COLUMN"),
-                          columns=self.columns or options.columns)
+                          columns={**(options.columns or {}), **timed},
+                          untyped=[c for c in own if c not in timed])
 
     def dataframe(self) -> DataFrame:
         """The shaped source: where, select, casts, transforms, metadata, limit."""

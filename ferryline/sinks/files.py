@@ -111,7 +111,10 @@ def _writer(df: DataFrame, fmt: str, options: TargetOptions, codec: str, mode: s
         if options.file_max_rows:
             writer = writer.option("maxRecordsPerFile", int(options.file_max_rows))
     if fmt == "csv":
+        # Spark's CSV writer trims values unless told not to.
         writer = (writer.option("header", options.header is not False).option("escape", '"')
+                  .option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False)
                   .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
                   .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS XXX"))
         if options.delimiter:

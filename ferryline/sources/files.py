@@ -22,12 +22,13 @@ from . import archives
 
 def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None = None,
                infer: bool | None = None, on_malformed: str = "pad",
-               schema=None, stream_url: bool = False, columns=None) -> DataFrame:
+               schema=None, stream_url: bool = False, columns=None, untyped=()) -> DataFrame:
     """Read one path, glob or list of paths with the given source options.
 
     ``infer`` types the text columns of csv, xlsx and zip files (default on);
     columns named in ``columns`` are cast to the named type and not inspected,
-    so naming all of them saves the pass. ``on_malformed`` is ``pad`` (short
+    so naming all of them saves the pass; those in ``untyped`` stay text for the
+    caller. ``on_malformed`` is ``pad`` (short
     rows padded, long rows cut), ``skip`` or ``fail``.
     """
     options = SourceOptions.from_dict(options)
@@ -42,12 +43,12 @@ def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None
     if text:
         df = parse_text(df, options)
         if infer is not False and schema is None:
-            stamps = _stamped(df, options)
-            df = apply_inferred(df, [c for c in shape.text_columns(df)
-                                     if c not in named and c not in stamps
-                                     and c != "_stream_url"])
-        elif options.datetime_format and schema is None:
-            df = shape.parse_datetimes(df, options.datetime_format, _stamped(df, options))
+            open_names = [c for c in shape.text_columns(df)
+                          if c not in named and c not in untyped and c != "_stream_url"]
+            stamps = _stamped(df, options, open_names)
+            if stamps:
+                df = shape.parse_datetimes(df, options.datetime_format, stamps)
+            df = apply_inferred(df, [c for c in open_names if c not in stamps])
     if options.flatten and not text:
         df = shape.flatten(df)
     if options.max_decimals is not None:
@@ -62,9 +63,8 @@ def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None
     return shape.limit_offset(df, options.limit, options.offset)
 
 
-def _stamped(df: DataFrame, options: SourceOptions) -> list[str]:
+def _stamped(df: DataFrame, options: SourceOptions, names) -> list[str]:
     """Text columns whose every value reads as ``datetime_format`` (one pass)."""
-    names = shape.text_columns(df)
     if not options.datetime_format or not names:
         return []
     fmt = F.lit(options.datetime_format)
@@ -133,7 +133,9 @@ def read_csv(spark: SparkSession, paths, options: SourceOptions, on_malformed: s
 
     def reader():
         r = (spark.read.option("header", header).option("mode", mode)
-             .option("multiLine", False).option("escape", '"').option("emptyValue", ""))
+             .option("escape", '"').option("emptyValue", ""))
+        if on_malformed != "pad":  # judge whole lines, whichever columns are used
+            r = r.option("columnPruning", False)
         if options.delimiter:
             r = r.option("sep", options.delimiter)
         if options.null_if is not None:
