@@ -12,6 +12,7 @@ import copy
 import dataclasses
 import datetime
 import json
+import os
 from dataclasses import dataclass, field
 from enum import Enum
 from typing import Any
@@ -52,10 +53,16 @@ def as_mapping(value: Any) -> Any:
     return copy.deepcopy(value)
 
 
-def load_document(path: str) -> dict:
-    """Read a YAML or JSON configuration file (driver-side, small)."""
-    with open(path, encoding="utf-8") as handle:
-        document = yaml.safe_load(handle)
+def load_document(path: str, spark=None) -> dict:
+    """A YAML or JSON configuration file, local to the driver or on the
+    cluster's file system."""
+    if os.path.exists(path) or spark is None:
+        with open(path, encoding="utf-8") as handle:
+            document = yaml.safe_load(handle)
+    else:
+        from .fs import ClusterFiles
+
+        document = yaml.safe_load(ClusterFiles(spark).read_text(path))
     if not isinstance(document, dict):
         raise ValueError(f"expected a mapping at the top level of {path}")
     return document

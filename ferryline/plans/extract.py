@@ -166,10 +166,10 @@ def shape_records(df: DataFrame, records: Records) -> DataFrame:
 
     Where an ``update_key`` is set the latest row per key is kept, else repeated
     keys are removed exactly, which satisfies any duplicate tolerance. ``limit``
-    counts records of one response, by their position.
+    keeps the first records by page and position.
     """
-    if records.limit is not None and "pos" in df.columns:
-        df = df.where(F.col("pos") < int(records.limit))
+    if records.limit is not None:
+        df = df.orderBy("page", "pos").limit(int(records.limit))
     df = df.drop("pos", *KEYS)
     if records.casing:
         df = shape.column_casing(df, records.casing)

@@ -53,8 +53,9 @@ class Replication:
     def __init__(self, source=None, target=None, defaults=None, hooks=None, streams=None,
                  env: dict | None = None, debug: bool = False, file_path: str | None = None,
                  spark: SparkSession | None = None):
+        self._spark = spark
         if file_path:
-            document = load_document(file_path)
+            document = load_document(file_path, self.spark)
             source = source or document.get("source")
             target = target or document.get("target")
             defaults = defaults or document.get("defaults")
@@ -69,7 +70,6 @@ class Replication:
         self.env = dict(env or {})
         self.debug = debug
         self.file_path = file_path
-        self._spark = spark
 
     @property
     def spark(self) -> SparkSession:
@@ -187,14 +187,14 @@ class Pipeline:
 
     def __init__(self, steps=None, env: dict | None = None, file_path: str | None = None,
                  spark: SparkSession | None = None):
+        self._spark = spark
         if file_path:
-            document = load_document(file_path)
+            document = load_document(file_path, self.spark)
             steps = steps or document.get("steps")
             env = {**(document.get("env") or {}), **(env or {})}
         self.steps = [step_from(s) for s in steps or []]
         self.env = dict(env or {})
         self.file_path = file_path
-        self._spark = spark
 
     @property
     def spark(self) -> SparkSession:

@@ -22,14 +22,16 @@ from . import archives
 
 def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None = None,
                infer: bool | None = None, on_malformed: str = "pad",
-               schema=None, stream_url: bool = False, columns=None, untyped=()) -> DataFrame:
+               schema=None, stream_url: bool = False, columns=None, untyped=(),
+               multi_line: bool | None = None) -> DataFrame:
     """Read one path, glob or list of paths with the given source options.
 
     ``infer`` types the text columns of csv, xlsx and zip files (default on);
     columns named in ``columns`` are cast to the named type and not inspected,
     so naming all of them saves the pass; those in ``untyped`` stay text for the
-    caller. ``on_malformed`` is ``pad`` (short
-    rows padded, long rows cut), ``skip`` or ``fail``.
+    caller. ``on_malformed`` is ``pad`` (short rows padded, long rows cut),
+    ``skip`` or ``fail``. ``multi_line`` says whether quoted csv values may hold
+    line breaks; left out, one scan finds out.
     """
     options = SourceOptions.from_dict(options)
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -39,7 +41,8 @@ def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None
         fmt = "csv" if codec == "zip" else "parquet"
     named = as_mapping(columns if columns is not None else options.columns) or {}
 
-    df, text = _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url)
+    df, text = _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url,
+                     multi_line)
     if text:
         df = parse_text(df, options)
         if infer is not False and schema is None:
@@ -88,13 +91,13 @@ def parse_text(df: DataFrame, options: SourceOptions) -> DataFrame:
     return df
 
 
-def _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url):
+def _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url, multi_line):
     """(DataFrame, whether its columns are still raw text)."""
     reader = spark.read
     if codec == "zip" and fmt in ("csv", "json", "jsonlines", None):
         return archives.read_zip(spark, paths, fmt or "csv", options), fmt == "csv"
     if fmt == "csv":
-        return read_csv(spark, paths, options, on_malformed, schema, stream_url), True
+        return read_csv(spark, paths, options, on_malformed, schema, stream_url, multi_line), True
     if fmt == "xlsx":
         return archives.read_xlsx(spark, paths, options), True
     if fmt == "arrow":
@@ -126,14 +129,27 @@ def _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url):
 # -- csv -------------------------------------------------------------------------
 
 
+def has_broken_lines(spark: SparkSession, paths) -> bool:
+    """Whether some quoted value holds a line break: a physical line then has an
+    odd number of quotes. Files without one can be split between tasks; files
+    with one are read whole, one per task. One text scan that ends at the first
+    such line; pass ``multi_line`` to skip it."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    return spark.read.text(paths).where(quotes % 2 == 1).first() is not None
+
+
 def read_csv(spark: SparkSession, paths, options: SourceOptions, on_malformed: str = "pad",
-             schema=None, stream_url: bool = False) -> DataFrame:
+             schema=None, stream_url: bool = False, multi_line: bool | None = None
+             ) -> DataFrame:
     header = options.header is not False
     mode = {"pad": "PERMISSIVE", "skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_malformed]
 
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, paths)
+
     def reader():
         r = (spark.read.option("header", header).option("mode", mode)
-             .option("escape", '"').option("emptyValue", ""))
+             .option("escape", '"').option("emptyValue", "").option("multiLine", multi_line))
         if on_malformed != "pad":  # judge whole lines, whichever columns are used
             r = r.option("columnPruning", False)
         if options.delimiter:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import yaml
 from pyspark.sql import functions as F
 
-from ferryline import Connection, HookMap, Pipeline, Replication, VersionedDataset
+from ferryline import Connection, HookMap, Pipeline, Replication, Transfer, VersionedDataset
+from ferryline.fs import ClusterFiles
 from ferryline.functions.render import csv_lines, render_csv, render_json
 from ferryline.operators.shape import cast_columns
 from ferryline.plans.steps import (
@@ -75,8 +77,6 @@ SELECT o_orderkey, o_totalprice FROM orders
 WHERE o_totalprice > 250000 AND o_orderpriority = '1-URGENT'""")
 def sql_params(spark, sf_dir):
     """Variables are bound as parameters, never pasted into the text."""
-    from ferryline import Transfer
-
     read(spark, sf_dir, "orders").createOrReplaceTempView("orders_rows")
     return Transfer(src_conn="SPARK", spark=spark,
                     env={"least": 250000, "priority": "1-URGENT"}, src_stream="""
@@ -216,22 +216,13 @@ SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
   AND o_orderdate < TIMESTAMP '1999-01-01'""")
 def step_replication(spark, sf_dir):
     """A replication file run as a step, with mode and range overridden."""
-    import yaml
-
-    from ferryline.fs import ClusterFiles
-
     folder = scratch_path(spark, "stepped")
     target = f"{folder}/orders.parquet"
     document = {"source": "LOCAL", "target": "LOCAL", "streams": {
         path(sf_dir, "orders"): {"object": target, "primary_key": ["o_orderkey"],
                                  "update_key": "o_orderdate"}}}
-    # The configuration file lives with the driver; the data does not.
-    import tempfile
-
-    with tempfile.NamedTemporaryFile("w", suffix=".yaml", delete=False) as handle:
-        yaml.safe_dump(document, handle)
-    ClusterFiles(spark)
-    StepRunner(spark).run(StepReplication(handle.name, mode="backfill",
+    ClusterFiles(spark).create_text(f"{folder}/run.yaml", yaml.safe_dump(document))
+    StepRunner(spark).run(StepReplication("run.yaml", working_dir=folder, mode="backfill",
                                           range_param="1998-01-01..1998-12-31"))
     return VersionedDataset(spark, target).read()
 
