@@ -7,58 +7,74 @@ from pyspark.sql import functions as F
 
 from .shape import column, text_columns
 
-# Candidate types in order of preference, with the text each accepts.
-PATTERNS = {
-    "boolean": r"^(?i:true|false)$",
-    "bigint": r"^[+-]?(0|[1-9][0-9]*)$",
-    "double": r"^[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$",
-    "timestamp_ntz": r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$",
-    "date": r"^\d{4}-\d{2}-\d{2}$",
+# The text each type accepts. Leading zeros keep a value text.
+WHOLE = r"^[+-]?(0|[1-9][0-9]*)$"
+FRACTION = r"^[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DATE = r"^\d{4}-\d{2}-\d{2}$"
+TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
+STAMP_LENGTH = 26
+
+# Types in order of preference and the bit that stands for each.
+BITS = {
+    "boolean": 1,
+    "bigint": 2,
+    "double": 4,
+    "date": 8,
+    "timestamp_ntz": 16,
 }
 
 
-def _fits(value: Column, kind: str) -> Column:
-    readable = value.rlike(PATTERNS[kind])
-    if kind == "timestamp_ntz":  # dates among timestamps widen to timestamps
-        readable = readable | value.rlike(PATTERNS["date"])
-    if kind == "double":  # whole numbers too long for a bigint keep all digits as text
-        readable = readable & (~value.rlike(PATTERNS["bigint"])
-                               | value.try_cast("bigint").isNotNull())
-    return readable & value.try_cast(kind).isNotNull()
+def fitting_types(value: Column) -> Column:
+    """Bits of the types one value can be read as; null for null values.
+
+    The tests run in order and stop at the first that decides. Whole numbers
+    too long for a bigint fit none, and so keep all their digits as text.
+    """
+    def fits(kind, *bits):
+        return F.when(value.try_cast(kind).isNotNull(), sum(BITS[b] for b in bits)).otherwise(0)
+
+    short = F.length(value) <= STAMP_LENGTH
+    return (
+        F.when(value.isNull(), None)
+        .when(value.rlike(WHOLE), fits("bigint", "bigint", "double"))
+        .when(value.rlike(FRACTION), BITS["double"])
+        .when(short & value.rlike(DATE), fits("date", "date", "timestamp_ntz"))
+        .when(short & value.rlike(TIMESTAMP), fits("timestamp_ntz", "timestamp_ntz"))
+        .when(F.lower(value).isin("true", "false"), BITS["boolean"])
+        .otherwise(0))
 
 
-def inference_aggregates(df: DataFrame, names) -> list[Column]:
-    """Per column, the inferred type name as one aggregate expression.
+def inference_aggregates(names) -> list[Column]:
+    """Per column, the bits every value shares: null when there is no value.
 
-    Boolean, whole, fractional, date, timestamp, else string; a column with no
-    values is a string. Only running booleans are aggregated, so the job is a
-    single scan with one small row per task.
+    A task sends one small row however many rows it read.
     """
-    out = []
-    for name in names:
-        value = column(name)
-        fits = {k: F.bool_and(value.isNull() | _fits(value, k)) for k in PATTERNS}
-        kind = F.when(F.count(value) == 0, "string")
-        for candidate in ("boolean", "bigint", "double", "date", "timestamp_ntz"):
-            kind = kind.when(fits[candidate], candidate)
-        out.append(kind.otherwise("string").alias(name))
-    return out
+    return [F.bit_and(fitting_types(column(n))).alias(n) for n in names]
+
+
+def type_name(bits: Column) -> Column:
+    """Boolean, whole, fractional, date, timestamp, else string; a column with
+    no values is a string."""
+    kind = F.when(bits.isNull(), "string")
+    for name, bit in BITS.items():
+        kind = kind.when(bits.bitwiseAND(bit) != 0, name)
+    return kind.otherwise("string")
 
 
 def infer_types(df: DataFrame, names=None) -> DataFrame:
     """``(column_name, inferred_type)`` for every text column."""
     names = list(names or text_columns(df))
-    found = df.agg(*inference_aggregates(df, names))
-    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), column(n).alias("inferred_type"))
-                      for n in names])
+    found = df.agg(*inference_aggregates(names))
+    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"),
+                               type_name(column(n)).alias("inferred_type")) for n in names])
     return found.select(F.inline(pairs))
 
 
 def apply_inferred(df: DataFrame, names=None) -> DataFrame:
     """Infer (one pass) and cast. Inference proved every value readable."""
-    names = list(names or text_columns(df))
+    names = list(text_columns(df) if names is None else names)
     if not names:
         return df
-    kinds = df.agg(*inference_aggregates(df, names)).first()
-    casts = {n: column(n).cast(kinds[n]) for n in names if kinds[n] not in (None, "string")}
+    kinds = {r["column_name"]: r["inferred_type"] for r in infer_types(df, names).collect()}
+    casts = {n: column(n).cast(kinds[n]) for n in names if kinds[n] != "string"}
     return df.withColumns(casts) if casts else df

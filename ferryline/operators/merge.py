@@ -3,6 +3,8 @@
 Plan notes
 * The key side of every anti/semi join is narrowed to its key columns and made
   distinct first, so repeated source keys collapse before the shuffle.
+* The target is always the left side of a join AQE can split (``keyed_join``),
+  so a target key that holds a large share of the rows does not land in one task.
 * Sides are never hinted: Catalyst broadcasts one only under its own size
   threshold and AQE re-plans from measured sizes beyond it.
 * Rows with a null key match nothing. They bypass the joins, so however many
@@ -20,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..config import as_list
 from ..enums import MergeStrategy, plain
+from .joins import keyed_join
 from .shape import column, quoted
 
 _HIT = "__in_source"
@@ -80,7 +83,8 @@ def is_small(df: DataFrame) -> bool:
     return 0 <= size_estimate(df) <= limit
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None) -> DataFrame:
+def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None,
+             co_located: bool = False) -> DataFrame:
     """Source rows whose key the target lacks, null keys included.
 
     A small source is first used to cut the target's keys down to the matching
@@ -91,7 +95,7 @@ def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None) -> Da
     if is_small(source):
         wanted = key_rows(source, keys) if source_keys is None else source_keys
         present = present.join(wanted, keys, "left_semi")
-    fresh = keyed.join(present.distinct(), keys, "left_anti")
+    fresh = keyed_join(keyed, present.distinct(), keys, "left_anti", co_located)
     return in_order(fresh, source).unionByName(loose)
 
 
@@ -100,35 +104,26 @@ def in_order(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[column(c) for c in like.columns])
 
 
-def unmatched(target: DataFrame, source_keys: DataFrame, keys) -> DataFrame:
+def unmatched(target: DataFrame, source_keys: DataFrame, keys, co_located=False) -> DataFrame:
     keyed, loose = split_null_keys(target, keys)
-    kept = keyed.join(source_keys, keys, "left_anti")
+    kept = keyed_join(keyed, source_keys, keys, "left_anti", co_located)
     return in_order(kept, target).unionByName(loose)
 
 
-def _updated(target: DataFrame, source: DataFrame, keys, how: str) -> DataFrame:
-    """Join keyed rows of both sides; where the source is present its columns
-    win, even when null, and columns it lacks keep the target's value."""
-    incoming = {c: f"__src_{i}" for i, c in enumerate(source.columns)}
-    right = source.select(*[column(c).alias(a) for c, a in incoming.items()],
-                          F.lit(True).alias(_HIT))
-    match = reduce(lambda a, b: a & b, [column(k) == F.col(incoming[k]) for k in keys])
-    joined = target.join(right, match, how)
-    out = []
-    for c in target.columns:
-        if c in incoming:
-            pick = F.when(F.col(_HIT), F.col(incoming[c])).otherwise(column(c))
-        else:
-            pick = column(c)
-        out.append(pick.alias(c))
-    return joined.select(*out)
-
-
-def update_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Existing rows updated in place; no new rows. One left outer join."""
+def update_rows(target: DataFrame, source: DataFrame, keys, co_located: bool = False) -> DataFrame:
+    """Existing rows updated in place; no new rows. Where the source has the key
+    its columns win, even when null; columns it lacks keep the target's value.
+    """
     keyed, loose = split_null_keys(target, keys)
-    wanted, _ = split_null_keys(source, keys)
-    return _updated(keyed, wanted, keys, "left_outer").unionByName(loose)
+    changed = {c: f"__src_{i}" for i, c in enumerate(source.columns) if c not in keys}
+    incoming = source.where(~any_null(keys)).select(
+        *[column(k) for k in keys], *[column(c).alias(a) for c, a in changed.items()],
+        F.lit(True).alias(_HIT))
+    joined = keyed_join(keyed, incoming, keys, "left_outer", co_located)
+    updated = joined.select(*[
+        F.when(F.col(_HIT), F.col(changed[c])).otherwise(column(c)).alias(c)
+        if c in changed else column(c) for c in target.columns])
+    return updated.unionByName(loose)
 
 
 def _fill(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -137,24 +132,20 @@ def _fill(df: DataFrame, like: DataFrame) -> DataFrame:
         for f in like.schema.fields])
 
 
-def update_insert(target: DataFrame, source: DataFrame, keys, source_keys: DataFrame) -> DataFrame:
+def update_insert(target: DataFrame, source: DataFrame, keys, source_keys: DataFrame,
+                  co_located: bool = False) -> DataFrame:
     if set(target.columns) <= set(source.columns):
         # The source carries whole rows, so replacing is updating: the target is
-        # only filtered, which can be a broadcast join; an outer join cannot.
-        kept = unmatched(target, source_keys, keys)
+        # only filtered by key.
+        kept = unmatched(target, source_keys, keys, co_located)
         return kept.unionByName(in_order(source, target))
-    if is_small(source):
-        inserts = _fill(new_rows(target, source, keys, source_keys), target)
-        return update_rows(target, source, keys).unionByName(inserts)
-    t_keyed, t_loose = split_null_keys(target, keys)
-    s_keyed, s_loose = split_null_keys(source, keys)
-    both = _updated(t_keyed, s_keyed, keys, "full_outer")
-    return both.unionByName(t_loose).unionByName(_fill(s_loose, target))
+    inserts = _fill(new_rows(target, source, keys, source_keys, co_located), target)
+    return update_rows(target, source, keys, co_located).unionByName(inserts)
 
 
 def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_insert",
           update_key: str | None = None, delete_missing: bool = False,
-          check_unique: bool = True, source_keys: DataFrame | None = None) -> DataFrame:
+          check_unique: bool = True, co_located: bool = False) -> DataFrame:
     """The target after merging ``source`` into it.
 
     ``update_insert``  update matching rows column by column, insert new rows
@@ -166,8 +157,8 @@ def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_in
     not have. Source rows sharing a key are reduced to the latest by
     ``update_key``; without one they are an error, except that
     ``delete_insert`` inserts them all and ``insert`` takes one.
-    ``check_unique=False`` says uniqueness is known; ``source_keys`` passes the
-    distinct non-null source keys where they are stored already.
+    ``check_unique=False`` says uniqueness is known; ``co_located`` that both
+    sides are bucketed on the key.
     """
     keys = as_list(primary_key)
     if not keys:
@@ -179,14 +170,13 @@ def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_in
     if unknown:
         raise ValueError(f"source columns are not in the target: {unknown}")
     strategy = MergeStrategy(plain(strategy))
-    if source_keys is None:
-        source_keys = key_rows(source, keys)
+    source_keys = key_rows(source, keys)
 
     if strategy is MergeStrategy.DELETE_INSERT:
         rows = _fill(source, target)
         if delete_missing:
             return rows
-        return unmatched(target, source_keys, keys).unionByName(rows)
+        return unmatched(target, source_keys, keys, co_located).unionByName(rows)
     if strategy is MergeStrategy.INSERT or update_key:
         source = dedupe_latest(source, keys, update_key)
     elif check_unique:
@@ -194,13 +184,15 @@ def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_in
     if delete_missing:
         if strategy is MergeStrategy.UPDATE_INSERT and set(target.columns) <= set(source.columns):
             return in_order(source, target)
-        known = target.where(~any_null(keys)).join(source_keys, keys, "left_semi")
+        known = keyed_join(target.where(~any_null(keys)), source_keys, keys, "left_semi",
+                           co_located)
         target = in_order(known, target)
     if strategy is MergeStrategy.INSERT:
-        return target.unionByName(_fill(new_rows(target, source, keys, source_keys), target))
+        fresh = new_rows(target, source, keys, source_keys, co_located)
+        return target.unionByName(_fill(fresh, target))
     if strategy is MergeStrategy.UPDATE:
-        return update_rows(target, source, keys)
-    return update_insert(target, source, keys, source_keys)
+        return update_rows(target, source, keys, co_located)
+    return update_insert(target, source, keys, source_keys, co_located)
 
 
 def dedupe_records(df: DataFrame, primary_key) -> DataFrame:

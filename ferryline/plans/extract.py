@@ -23,6 +23,7 @@ from ..enums import plain
 from ..errors import TransferError, UnsupportedError
 from ..functions.paths import extract_records, extract_variants, parse_path, typed_records
 from ..operators import shape
+from ..operators.joins import keyed_join
 from ..operators.merge import dedupe_latest, dedupe_records
 from .apispec import Endpoint, Iterate, Processor, Records, Rule
 
@@ -68,7 +69,7 @@ def cut_pages(routed: DataFrame, at: Column, inclusive: bool) -> DataFrame:
     in one task.
     """
     cuts = (routed.where(at).groupBy("endpoint").agg(F.min("page").alias("__cut")))
-    joined = routed.join(cuts, "endpoint", "left")
+    joined = keyed_join(routed, cuts, ["endpoint"], "left_outer")
     within = F.col("page") <= F.col("__cut") if inclusive else F.col("page") < F.col("__cut")
     return joined.where(F.col("__cut").isNull() | within).select(
         *[F.col(c) for c in routed.columns])
@@ -264,8 +265,8 @@ def since_last_sync(df: DataFrame, update_key: str, state: DataFrame | None, nam
 def iterate_over(queue: DataFrame, responses: DataFrame, on: str, into: str) -> DataFrame:
     """Responses fetched for the values of a queue; the value becomes a column.
     Repeated queue values collapse before the join."""
-    values = queue.select(F.col("value").alias(into)).where(F.col(into).isNotNull()).distinct()
-    return responses.join(values, F.col(on) == F.col(into), "inner")
+    values = queue.select(F.col("value").alias(on)).where(F.col(on).isNotNull()).distinct()
+    return keyed_join(responses, values, [on], "inner").withColumn(into, F.col(on))
 
 
 def dynamic_extract(responses: DataFrame, value_column: str, path: str,

@@ -14,8 +14,7 @@ from ..config import as_list
 from ..enums import MergeStrategy, Mode, plain
 from ..errors import TransferError
 from ..operators import shape
-from ..operators.merge import (
-    dedupe_latest, is_small, key_rows, merge, new_rows, require_unique_keys)
+from ..operators.merge import dedupe_latest, merge, new_rows, require_unique_keys
 from ..operators.schema import as_type, conform, evolved_schema
 from .targets import stage
 
@@ -336,16 +335,13 @@ def _apply(staged: DataFrame, target, spec: LoadSpec, keys, strategy, state) ->
         target.append(counted.df if target.counts_rows else fresh, state or None)
         return counted.rows if target.counts_rows else None
 
-    # Many source keys: store them distinct once. The join then sees two plain
-    # shuffles, which AQE can split when a target key is hot.
-    source_keys = None if is_small(incoming) else stage(key_rows(incoming, keys), "keys")
     seen = []
 
     def merged(target_rows: DataFrame) -> DataFrame:
         rows = conform(target_rows, schema) if widened or grown else target_rows
         result = merge(rows, incoming, keys, strategy, update_key=spec.update_key,
                        delete_missing=spec.delete_missing, check_unique=False,
-                       source_keys=source_keys)
+                       co_located=getattr(target, "bucket_by", None) == list(keys))
         if not target.counts_rows:
             return result
         seen.append(_Counted(result))

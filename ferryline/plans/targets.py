@@ -15,6 +15,7 @@ from ..config import TargetOptions, as_list
 from ..enums import plain
 from ..errors import TransferError
 from ..fs import ClusterFiles
+from ..operators.joins import keyed_join
 from ..operators.merge import any_null, key_rows
 from ..operators.shape import column, quoted
 from ..session import scratch_path
@@ -141,17 +142,20 @@ class VersionedDataset:
 
     def touched_partitions(self, source: DataFrame, keys) -> list | None:
         """Partition values a merge changes: those of matching target rows and of
-        the source rows. Only key and partition columns are read. None means
-        "all" (not partitioned, or too many to name)."""
+        the source rows. Only key and partition columns are read, and the target
+        not at all when the key contains the partition columns. None means "all"
+        (not partitioned, or too many to name)."""
         if not self.partition_by or any(p not in source.columns for p in self.partition_by):
             return None
         parts = [column(p) for p in self.partition_by]
-        target = self.read()
-        hit = (target.where(~any_null(keys)).select(*[column(k) for k in keys],
-                                                    *[c for c, p in zip(parts, self.partition_by)
-                                                      if p not in keys])
-               .join(key_rows(source, keys), keys, "left_semi"))
-        values = hit.select(*parts).union(source.select(*parts)).distinct()
+        values = source.select(*parts)
+        if not set(self.partition_by) <= set(keys):
+            # A row may move between partitions, so find where its key is now.
+            wanted = list(dict.fromkeys([*keys, *self.partition_by]))
+            held = self.read().where(~any_null(keys)).select(*[column(c) for c in wanted])
+            hit = keyed_join(held, key_rows(source, keys), keys, "left_semi")
+            values = values.union(hit.select(*parts))
+        values = values.distinct()
         rows = values.limit(MAX_TOUCHED + 1).collect()
         return rows if len(rows) <= MAX_TOUCHED else None
 

@@ -80,6 +80,10 @@ def write_files(df: DataFrame, path: str, fmt: str, options: TargetOptions | Non
     if fmt == "arrow":
         write_arrow(df, path, mode)
         return None
+    if partition_by and not options.concurrency:
+        # One value's rows meet in as many tasks as their size calls for: few
+        # files per value, and a value holding much of the data is still split.
+        df = df.hint("rebalance", *[column(c) for c in partition_by])
     writer = _writer(df, fmt, options, codec, mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

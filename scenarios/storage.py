@@ -156,7 +156,8 @@ FROM documents""")
 def scan_raw(spark, sf_dir):
     """Raw files: the bytes written are the bytes found."""
     files = scratch_path(spark, "raw")
-    read(spark, sf_dir, "documents").select("text").write.text(files, lineSep="\x1e")
+    (read(spark, sf_dir, "documents").select("text").write
+     .option("maxRecordsPerFile", 5000).text(files, lineSep="\x1e"))
     content = F.col("content").cast("string")
     return read_files(spark, files, {"format": "raw"}).agg(
         F.sum("length").alias("n_bytes"),
