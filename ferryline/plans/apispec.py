@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import copy
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from enum import Enum
 from typing import Any
 
 import yaml
 
-from ..config import Config
+from ..config import Config, ReplicationStream
 
 # -- names accepted in documents (fixed values) ----------------------------------
 
@@ -391,3 +391,16 @@ def modified_list(base: Response | None, own: Response | None, kind: str) -> lis
     if not before and not after:
         return inherited
     return copy.deepcopy(before + (inherited or []) + after)
+
+
+def endpoint_stream(endpoint: Endpoint) -> ReplicationStream:
+    """How an endpoint's records are loaded: its keys, then its ``overrides``.
+    Endpoints with a sync state load incrementally."""
+    records = (endpoint.response.records if endpoint.response else None) or Records()
+    stream = ReplicationStream(
+        id=endpoint.name, description=endpoint.description, primary_key=records.primary_key,
+        update_key=records.update_key, disabled=endpoint.disabled,
+        mode="incremental" if endpoint.sync else None)
+    known = {f.name for f in fields(ReplicationStream)}
+    return stream.overlay(ReplicationStream.from_dict(
+        {k: v for k, v in (endpoint.overrides or {}).items() if k in known}))

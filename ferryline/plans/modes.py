@@ -34,6 +34,7 @@ class LoadSpec:
     add_new_columns: bool = False
     adjust_column_type: bool = False
     chunk_size: Any = None
+    staging: str | None = None
     loaded_at: datetime.datetime | None = None
     before_merge: Any = None
     after_merge: Any = None
@@ -185,7 +186,7 @@ def incremental(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
     schema = evolved_schema(have, rows.schema, spec.add_new_columns)
     rows = conform(rows, schema, spec.add_new_columns)
     counted = _Counted(rows, spec.update_key)
-    staged = stage(counted.df, "extract")
+    staged = stage(counted.df, "extract", spec.staging)
     if counted.rows == 0:
         return LoadReport(Mode.INCREMENTAL.value, rows_in=0, rows_out=0)
     high = _higher(staged, spec.update_key, target.state().get(HIGH_WATER), counted.high)
@@ -282,7 +283,7 @@ def _merge_load(rows: DataFrame, target, spec: LoadSpec, keys, mode: Mode) -> Lo
     """
     strategy = MergeStrategy(plain(spec.strategy) or MergeStrategy.UPDATE_INSERT.value)
     counted = _Counted(rows, spec.update_key)
-    staged = stage(counted.df, "extract")
+    staged = stage(counted.df, "extract", spec.staging)
     if not spec.update_key and strategy in (MergeStrategy.UPDATE_INSERT, MergeStrategy.UPDATE):
         require_unique_keys(staged, keys)
     report = LoadReport(mode.value, rows_in=counted.rows, rows_out=0)

@@ -382,10 +382,16 @@ def _kinds(df: DataFrame):
     return [f.dataType for f in df.schema.fields]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: the source is extracted
-    one time, the copy survives lost executors, and its size is known exactly
-    to the join planner."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame, label: str, at: str | None = None) -> DataFrame:
+    """Write once and read back: the source is extracted one time, the copy
+    survives lost executors, and its size is known exactly to the join planner.
+
+    The copy goes to the shared folder, or to the path or table ``at``.
+    """
+    spark = df.sparkSession
+    if at and "/" not in at:
+        df.write.mode("overwrite").saveAsTable(at)
+        return spark.table(at)
+    path = at or scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -268,7 +268,7 @@ class Transfer:
             ignore_existing=bool(options.ignore_existing),
             add_new_columns=bool(options.add_new_columns),
             adjust_column_type=bool(options.adjust_column_type),
-            chunk_size=self.src_options.chunk_size, loaded_at=self._run_time(),
+            chunk_size=self.src_options.chunk_size, staging=options.table_tmp, loaded_at=self._run_time(),
             before_merge=self.before_merge, after_merge=self.after_merge)
         self._sql_around(options.pre_sql)
         report = load(self.shaped_for_target(self.dataframe()), target, spec)

@@ -169,16 +169,18 @@ def read_csv(spark: SparkSession, paths, options: SourceOptions, on_malformed: s
 
 def malformed_rows(spark: SparkSession, paths, options: SourceOptions | dict | None,
                    schema: T.StructType) -> DataFrame:
-    """The lines ``on_malformed="skip"`` leaves out, as raw text."""
+    """What ``on_malformed="skip"`` leaves out: the values that could be read and
+    the raw line as ``_corrupt_record``."""
     options = SourceOptions.from_dict(options)
     bad = "_corrupt_record"
     full = T.StructType(schema.fields + [T.StructField(bad, T.StringType())])
     reader = (spark.read.schema(full).option("header", options.header is not False)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+              .option("columnPruning", False)
               .option("escape", '"'))
     if options.delimiter:
         reader = reader.option("sep", options.delimiter)
-    return reader.csv(paths).where(F.col(bad).isNotNull()).select(bad)
+    return reader.csv(paths).where(F.col(bad).isNotNull())
 
 
 # -- json ------------------------------------------------------------------------
