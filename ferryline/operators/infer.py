@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shape import column, text_columns
+from .shape import column, quoted, text_columns
 
 # The text each type accepts. Leading zeros keep a value text.
-WHOLE = r"^[+-]?(0|[1-9][0-9]*)$"
-FRACTION = r"^[+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE = r"^\d{4}-\d{2}-\d{2}$"
-TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
-STAMP_LENGTH = 26
+WHOLE = "^[+-]?(0|[1-9][0-9]*)$"
+FRACTION = "^[+-]?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?$"
 
 # Types in order of preference and the bit that stands for each.
 BITS = {
@@ -24,24 +23,31 @@ BITS = {
 }
 
 
-def fitting_types(value: Column) -> Column:
-    """Bits of the types one value can be read as; null for null values.
+def fitting_types(name: str) -> str:
+    """SQL for the bits of the types a text value can be read as (null for null).
 
-    The tests run in order and stop at the first that decides. Whole numbers
-    too long for a bigint fit none, and so keep all their digits as text.
+    Cheap looks at length and single characters pick the one pattern worth
+    matching. Whole numbers too long for a bigint fit no type, and so keep all
+    their digits as text.
     """
-    def fits(kind, *bits):
-        return F.when(value.try_cast(kind).isNotNull(), sum(BITS[b] for b in bits)).otherwise(0)
-
-    short = F.length(value) <= STAMP_LENGTH
-    return (
-        F.when(value.isNull(), None)
-        .when(value.rlike(WHOLE), fits("bigint", "bigint", "double"))
-        .when(value.rlike(FRACTION), BITS["double"])
-        .when(short & value.rlike(DATE), fits("date", "date", "timestamp_ntz"))
-        .when(short & value.rlike(TIMESTAMP), fits("timestamp_ntz", "timestamp_ntz"))
-        .when(F.lower(value).isin("true", "false"), BITS["boolean"])
-        .otherwise(0))
+    v = quoted(name)
+    whole, double = BITS["bigint"] | BITS["double"], BITS["double"]
+    date, stamp = BITS["date"] | BITS["timestamp_ntz"], BITS["timestamp_ntz"]
+    return f"""
+        CASE WHEN {v} IS NULL THEN NULL
+             WHEN length({v}) BETWEEN 10 AND 26 AND substr({v}, 5, 1) = '-' THEN
+                  CASE WHEN length({v}) = 10 THEN
+                            IF({v} RLIKE '{DATE}' AND try_cast({v} AS DATE) IS NOT NULL, {date}, 0)
+                       WHEN {v} RLIKE '{TIMESTAMP}' AND try_cast({v} AS TIMESTAMP_NTZ) IS NOT NULL
+                            THEN {stamp}
+                       ELSE 0 END
+             WHEN substr({v}, 1, 1) BETWEEN '+' AND '9' THEN
+                  CASE WHEN {v} RLIKE '{WHOLE}' THEN
+                            IF(try_cast({v} AS BIGINT) IS NOT NULL, {whole}, 0)
+                       WHEN {v} RLIKE '{FRACTION}' THEN {double}
+                       ELSE 0 END
+             WHEN length({v}) IN (4, 5) AND lower({v}) IN ('true', 'false') THEN {BITS["boolean"]}
+             ELSE 0 END"""
 
 
 def inference_aggregates(names) -> list[Column]:
@@ -49,25 +55,26 @@ def inference_aggregates(names) -> list[Column]:
 
     A task sends one small row however many rows it read.
     """
-    return [F.bit_and(fitting_types(column(n))).alias(n) for n in names]
+    return [F.expr(f"bit_and({fitting_types(n)})").alias(n) for n in names]
 
 
-def type_name(bits: Column) -> Column:
+def type_name(bits: int | None) -> str:
     """Boolean, whole, fractional, date, timestamp, else string; a column with
     no values is a string."""
-    kind = F.when(bits.isNull(), "string")
-    for name, bit in BITS.items():
-        kind = kind.when(bits.bitwiseAND(bit) != 0, name)
-    return kind.otherwise("string")
+    if bits is None:
+        return "string"
+    return next((name for name, bit in BITS.items() if bits & bit), "string")
 
 
 def infer_types(df: DataFrame, names=None) -> DataFrame:
     """``(column_name, inferred_type)`` for every text column."""
     names = list(names or text_columns(df))
     found = df.agg(*inference_aggregates(names))
-    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"),
-                               type_name(column(n)).alias("inferred_type")) for n in names])
-    return found.select(F.inline(pairs))
+    cases = " ".join(f"WHEN bits & {bit} != 0 THEN '{name}'" for name, bit in BITS.items())
+    pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), column(n).alias("bits"))
+                      for n in names])
+    return found.select(F.inline(pairs)).selectExpr(
+        "column_name", f"CASE {cases} ELSE 'string' END AS inferred_type")
 
 
 def apply_inferred(df: DataFrame, names=None) -> DataFrame:
@@ -75,6 +82,8 @@ def apply_inferred(df: DataFrame, names=None) -> DataFrame:
     names = list(text_columns(df) if names is None else names)
     if not names:
         return df
-    kinds = {r["column_name"]: r["inferred_type"] for r in infer_types(df, names).collect()}
-    casts = {n: column(n).cast(kinds[n]) for n in names if kinds[n] != "string"}
-    return df.withColumns(casts) if casts else df
+    bits = df.agg(*inference_aggregates(names)).first()
+    kinds = {n: type_name(bits[n]) for n in names}
+    return df.select(*[
+        column(c).cast(kinds[c]).alias(c) if kinds.get(c, "string") != "string" else quoted(c)
+        for c in df.columns])

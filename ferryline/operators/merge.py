@@ -13,8 +13,6 @@ Plan notes
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,7 +27,7 @@ _HIT = "__in_source"
 
 
 def any_null(keys) -> Column:
-    return reduce(lambda a, b: a | b, [column(k).isNull() for k in keys])
+    return F.expr(" OR ".join(f"{quoted(k)} IS NULL" for k in keys))
 
 
 def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
@@ -39,7 +37,7 @@ def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame]:
 
 
 def key_rows(df: DataFrame, keys) -> DataFrame:
-    return df.where(~any_null(keys)).select(*[column(k) for k in keys]).distinct()
+    return df.where(~any_null(keys)).select(*[quoted(k) for k in keys]).distinct()
 
 
 def dedupe_latest(df: DataFrame, keys, update_key: str | None = None) -> DataFrame:
@@ -91,7 +89,7 @@ def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None,
     ones (a broadcast semi join), so the target is never shuffled for it.
     """
     keyed, loose = split_null_keys(source, keys)
-    present = target.where(~any_null(keys)).select(*[column(k) for k in keys])
+    present = target.where(~any_null(keys)).select(*[quoted(k) for k in keys])
     if is_small(source):
         wanted = key_rows(source, keys) if source_keys is None else source_keys
         present = present.join(wanted, keys, "left_semi")
@@ -101,7 +99,7 @@ def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None,
 
 def in_order(df: DataFrame, like: DataFrame) -> DataFrame:
     """Joins on named keys move the keys first; restore the column order."""
-    return df.select(*[column(c) for c in like.columns])
+    return df.select(*[quoted(c) for c in like.columns])
 
 
 def unmatched(target: DataFrame, source_keys: DataFrame, keys, co_located=False) -> DataFrame:
@@ -116,19 +114,22 @@ def update_rows(target: DataFrame, source: DataFrame, keys, co_located: bool = F
     """
     keyed, loose = split_null_keys(target, keys)
     changed = {c: f"__src_{i}" for i, c in enumerate(source.columns) if c not in keys}
-    incoming = source.where(~any_null(keys)).select(
-        *[column(k) for k in keys], *[column(c).alias(a) for c, a in changed.items()],
-        F.lit(True).alias(_HIT))
+    incoming = source.where(~any_null(keys)).selectExpr(
+        *[quoted(k) for k in keys], *[f"{quoted(c)} AS {a}" for c, a in changed.items()],
+        f"true AS {_HIT}")
     joined = keyed_join(keyed, incoming, keys, "left_outer", co_located)
-    updated = joined.select(*[
-        F.when(F.col(_HIT), F.col(changed[c])).otherwise(column(c)).alias(c)
-        if c in changed else column(c) for c in target.columns])
+    updated = joined.selectExpr(*[
+        f"CASE WHEN {_HIT} THEN {changed[c]} ELSE {quoted(c)} END AS {quoted(c)}"
+        if c in changed else quoted(c) for c in target.columns])
     return updated.unionByName(loose)
 
 
 def _fill(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, those missing from ``df`` as nulls."""
+    have = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[
-        (column(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        quoted(f.name) if have.get(f.name) == f.dataType else
+        (column(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in like.schema.fields])
 
 

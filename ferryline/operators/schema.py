@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shape import column, spark_type
+from .shape import column, quoted, spark_type
 
 # Number types from narrow to wide.
 WHOLE = ["tinyint", "smallint", "int", "bigint"]
@@ -75,12 +75,14 @@ def conform(df: DataFrame, schema: T.StructType, add_new_columns: bool = False)
         raise ValueError(f"columns not in the target: {extra} (set add_new_columns)")
     fields = []
     for f in schema.fields:
-        if f.name in df.columns:
-            fields.append(as_type(column(f.name), df.schema[f.name].dataType, f.dataType)
-                          .alias(f.name))
+        have = df.schema[f.name].dataType if f.name in df.columns else None
+        if have == f.dataType:
+            fields.append(quoted(f.name))
+        elif have is not None:
+            fields.append(as_type(column(f.name), have, f.dataType).alias(f.name))
         else:
             fields.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*fields, *[column(c) for c in extra])
+    return df.select(*fields, *[quoted(c) for c in extra])
 
 
 def evolved_schema(target: T.StructType, source: T.StructType, add_new_columns: bool = False,

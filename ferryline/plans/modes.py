@@ -9,13 +9,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import as_list
 from ..enums import MergeStrategy, Mode, plain
 from ..errors import TransferError
 from ..operators import shape
 from ..operators.merge import dedupe_latest, merge, new_rows, require_unique_keys
-from ..operators.schema import as_type, conform, evolved_schema
+from ..operators.schema import conform, evolved_schema
 from .targets import stage
 
 HIGH_WATER = "high_water"
@@ -322,9 +323,7 @@ def _apply(staged: DataFrame, target, spec: LoadSpec, keys, strategy, state) ->
     extra = [c for c in staged.columns if c not in schema.names]
     if extra:
         raise ValueError(f"columns not in the target: {extra} (set add_new_columns)")
-    incoming = staged.select(*[
-        as_type(shape.column(f.name), staged.schema[f.name].dataType, f.dataType).alias(f.name)
-        for f in schema if f.name in staged.columns])
+    incoming = conform(staged, T.StructType([f for f in schema if f.name in staged.columns]))
 
     if strategy is MergeStrategy.INSERT and not spec.delete_missing and not widened:
         # Nothing existing changes: add the new rows, rewrite nothing.

@@ -7,8 +7,11 @@ are written once on top of these.
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TargetOptions, as_list
@@ -17,12 +20,34 @@ from ..errors import TransferError
 from ..fs import ClusterFiles
 from ..operators.joins import keyed_join
 from ..operators.merge import any_null, key_rows
-from ..operators.shape import column, quoted
+from ..operators.shape import quoted
 from ..session import scratch_path
 from ..sinks.files import write_files
 
-# Above this many touched partitions the whole dataset is rewritten instead.
+# Above this many touched partitions the whole dataset is rewritten instead. The
+# smaller bound is for tables, where the partitions are named in a filter.
 MAX_TOUCHED = 10_000
+MAX_FILTERED = 500
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, keys, partition_by,
+                       most: int = MAX_TOUCHED) -> list | None:
+    """Partition values a merge changes: those of matching target rows and of the
+    source rows. Only key and partition columns are read, and the target not at
+    all when the key contains the partition columns. None means "all" (not
+    partitioned, or too many to name)."""
+    if not partition_by or any(p not in source.columns for p in partition_by):
+        return None
+    parts = [quoted(p) for p in partition_by]
+    values = source.select(*parts)
+    if not set(partition_by) <= set(keys):
+        # A row may move between partitions, so find where its key is now.
+        wanted = list(dict.fromkeys([*keys, *partition_by]))
+        held = target.where(~any_null(keys)).select(*[quoted(c) for c in wanted])
+        hit = keyed_join(held, key_rows(source, keys), keys, "left_semi")
+        values = values.union(hit.select(*parts))
+    rows = values.distinct().limit(most + 1).collect()
+    return rows if len(rows) <= most else None
 
 
 class VersionedDataset:
@@ -92,7 +117,7 @@ class VersionedDataset:
         # The version folder is a partition column, so one scan spans versions.
         df = reader.option("basePath", self.path).load(
             [f"{self.path}/{folder}" for folder in found["folders"]])
-        return df.select(*[column(f.name) for f in schema.fields])
+        return df.select(*[quoted(f.name) for f in schema.fields])
 
     # -- writes ---------------------------------------------------------------
 
@@ -140,25 +165,6 @@ class VersionedDataset:
         self._publish(version, found["folders"] + folders, schema,
                       found["state"] if state is None else state)
 
-    def touched_partitions(self, source: DataFrame, keys) -> list | None:
-        """Partition values a merge changes: those of matching target rows and of
-        the source rows. Only key and partition columns are read, and the target
-        not at all when the key contains the partition columns. None means "all"
-        (not partitioned, or too many to name)."""
-        if not self.partition_by or any(p not in source.columns for p in self.partition_by):
-            return None
-        parts = [column(p) for p in self.partition_by]
-        values = source.select(*parts)
-        if not set(self.partition_by) <= set(keys):
-            # A row may move between partitions, so find where its key is now.
-            wanted = list(dict.fromkeys([*keys, *self.partition_by]))
-            held = self.read().where(~any_null(keys)).select(*[column(c) for c in wanted])
-            hit = keyed_join(held, key_rows(source, keys), keys, "left_semi")
-            values = values.union(hit.select(*parts))
-        values = values.distinct()
-        rows = values.limit(MAX_TOUCHED + 1).collect()
-        return rows if len(rows) <= MAX_TOUCHED else None
-
     def merge_in(self, source: DataFrame, keys, merged, state=None,
                  keep_state: bool = False, whole: bool = False) -> None:
         """Rewrite what ``merged(target_rows)`` changes and keep the rest.
@@ -167,7 +173,8 @@ class VersionedDataset:
         """
         found = self.latest()
         new_state = found["state"] if keep_state and found else (state or {})
-        touched = None if whole or found is None else self.touched_partitions(source, keys)
+        touched = None if whole or found is None else touched_partitions(
+            self.read(), source, keys, self.partition_by)
         if touched is None:
             return self.replace(merged(self.read()), new_state)
         if not touched:
@@ -212,6 +219,20 @@ def _partition_text(value) -> str:
     return str(value)
 
 
+@contextmanager
+def overwriting_partitions(spark: SparkSession, mode: str = "dynamic"):
+    """Inserts that overwrite replace only the partitions they write (dynamic) or
+    the whole table (static). This is a session setting: insertInto takes no
+    writer option for it."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class CatalogTable:
     """A table of the session catalog in a built-in file format.
 
@@ -245,7 +266,7 @@ class CatalogTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
             self.spark.sql(self.options.table_ddl.replace("{table}", self.name))
             columns = self.read().columns
-            df.select(*[column(c) for c in columns]).write.insertInto(self.name)
+            df.select(*[quoted(c) for c in columns]).write.insertInto(self.name)
             return
         writer = df.write.mode("overwrite").format("parquet")
         if self.partition_by:
@@ -269,22 +290,53 @@ class CatalogTable:
         kinds = self.read().schema
         df = df.selectExpr("*", *[f"CAST(NULL AS {kinds[c].dataType.simpleString()}) AS {quoted(c)}"
                                   for c in gaps])
-        df.select(*[column(c) for c in columns]).write.insertInto(self.name)
+        df.select(*[quoted(c) for c in columns]).write.insertInto(self.name)
         return None
 
     def overwrite_rows(self, df: DataFrame) -> None:
         """New contents under the existing definition."""
-        staged = stage(df, "table")
-        columns = self.read().columns
-        staged.select(*[column(c) for c in columns]).write.insertInto(self.name, overwrite=True)
+        staged = stage(df, "table").select(*[quoted(c) for c in self.read().columns])
+        with overwriting_partitions(self.spark, "static"):
+            staged.write.insertInto(self.name, overwrite=True)
+
+    def partitions(self) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
 
     def merge_in(self, source, keys, merged, state=None, keep_state=False, whole=False) -> None:
-        result = merged(self.read())
-        if result.schema.names != self.read().columns or _kinds(result) != _kinds(self.read()):
+        """Rewrite the touched partitions of a partitioned table, else the table."""
+        parts = self.partitions()
+        target = self.read()
+        touched = None if whole else touched_partitions(target, source, keys, parts, MAX_FILTERED)
+        if touched is not None:
+            if touched:
+                self._rewrite_partitions(target, parts, touched, merged)
+            return
+        result = merged(target)
+        if result.schema.names != target.columns or _kinds(result) != _kinds(target):
             self.replace(stage(result, "table"))
         else:
             self.overwrite_rows(result)
 
+    def _rewrite_partitions(self, target: DataFrame, parts, touched, merged) -> None:
+        inside = reduce(lambda a, b: a | b, [
+            reduce(lambda a, b: a & b, [
+                F.col(quoted(p)).eqNullSafe(F.lit(row[p])) for p in parts]) for row in touched])
+        result = merged(target.where(inside))
+        missing = [f for f in result.schema if f.name not in target.columns]
+        if missing:
+            added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({added})")
+        columns = self.read().columns
+        staged = stage(result, "table").select(*[quoted(c) for c in columns])
+        with overwriting_partitions(self.spark):
+            staged.write.insertInto(self.name, overwrite=True)
+        # Dynamic overwrite leaves partitions the merge has emptied; drop those.
+        filled = {tuple(r) for r in staged.select(*[quoted(p) for p in parts]).distinct().collect()}
+        for row in touched:
+            if tuple(row) not in filled and None not in tuple(row):
+                spec = ", ".join(f"{quoted(p)} = '{str(row[p])}'" for p in parts)
+                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+
 
 class JdbcTable:
     """A database table reached over JDBC."""

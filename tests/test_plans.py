@@ -3,11 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ferryline import LoadSpec, VersionedDataset, load
+from ferryline import CatalogTable, LoadSpec, TargetOptions, VersionedDataset, load
 from ferryline.operators.merge import dedupe_latest, merge
 from ferryline.operators.shape import range_filter
 from ferryline.plans.modes import high_water
-from scenarios.base import changed_orders, loaded_orders, read
+from scenarios.base import changed_orders, create_database, loaded_orders, read
 
 
 def plan(df) -> str:
@@ -106,3 +106,42 @@ def test_partitioned_writes_are_rebalanced(spark, sf_dir, scratch):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.parquet").load(scratch)
     assert files.count() <= 4 * 3
+
+
+def test_table_merge_rewrites_touched_partitions_only(spark, sf_dir):
+    name = f"{create_database(spark, 'parts')}.t"
+    target = CatalogTable(spark, name, TargetOptions(table_keys={"partition": ["p"]}))
+    load(spark.createDataFrame([(1, "old", "a"), (2, "old", "b"), (3, "old", "c")],
+                               "k int, v string, p string"), target, LoadSpec())
+
+    def files(part):
+        return {r[0] for r in spark.table(name).where(f"p = '{part}'").select(
+            "_metadata.file_name").distinct().collect()}
+
+    before = files("c")
+    load(spark.createDataFrame([(1, "new", "b"), (4, "new", "d")], "k int, v string, p string"),
+         target, LoadSpec(mode="incremental", primary_key="k"))
+    found = sorted(tuple(r) for r in target.read().select("k", "v", "p").collect())
+    assert found == [(1, "new", "b"), (2, "old", "b"), (3, "old", "c"), (4, "new", "d")]
+    assert files("c") == before
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["p=b", "p=c", "p=d"]
+
+
+def test_key_holding_the_partition_needs_no_target_scan(spark, scratch):
+    target = VersionedDataset(spark, scratch, ["p"])
+    load(spark.createDataFrame([(1, "a", "old"), (1, "b", "old")], "k int, p string, v string"),
+         target, LoadSpec())
+    load(spark.createDataFrame([(1, "a", "new")], "k int, p string, v string"), target,
+         LoadSpec(mode="incremental", primary_key="k,p"))
+    assert target.latest()["folders"] == ["_version=1/p=b", "_version=2/p=a"]
+
+
+def test_partition_names_are_escaped(spark, scratch):
+    target = VersionedDataset(spark, scratch, ["p"])
+    load(spark.createDataFrame([(1, "a/b: c", "old"), (2, None, "old")],
+                               "k int, p string, v string"), target, LoadSpec())
+    load(spark.createDataFrame([(1, "a/b: c", "new"), (3, None, "new")],
+                               "k int, p string, v string"),
+         target, LoadSpec(mode="incremental", primary_key="k"))
+    found = sorted((r["k"], r["p"], r["v"]) for r in target.read().collect())
+    assert found == [(1, "a/b: c", "new"), (2, None, "old"), (3, None, "new")]
