@@ -7,6 +7,7 @@ are written once on top of these.
 from __future__ import annotations
 
 import json
+import uuid
 from contextlib import contextmanager
 from functools import reduce
 
@@ -53,7 +54,7 @@ def touched_partitions(target: DataFrame, source: DataFrame, keys, partition_by,
 class VersionedDataset:
     """A file dataset that can be merged into while it is being read.
 
-    Each load writes a new ``_version=N`` folder and then publishes a small
+    Each load writes a new ``_version=N-id`` folder and then publishes a small
     commit file naming the folders that make up the table, the schema and the
     load state. Readers use the newest commit, so a failed load leaves the
     table as it was. Appends add a folder; a merge into a dataset partitioned
@@ -124,7 +125,9 @@ class VersionedDataset:
     def _write_folder(self, df: DataFrame) -> tuple[int, list[str]]:
         numbers = self.versions()
         version = numbers[-1] + 1 if numbers else 1
-        folder = f"_version={version}"
+        # The suffix keeps two loads that race for one version number apart: both
+        # write, one publishes, the other raises with its files unreferenced.
+        folder = f"_version={version}-{uuid.uuid4().hex[:8]}"
         write_files(df, f"{self.path}/{folder}", self.format, self.options,
                     partition_by=self.partition_by)
         if not self.partition_by:

@@ -87,7 +87,7 @@ def write_files(df: DataFrame, path: str, fmt: str, options: TargetOptions | Non
     writer = _writer(df, fmt, options, codec, mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.option("partitionOverwriteMode", "static").save(path)
     return None
 
 

@@ -57,7 +57,7 @@ def test_incremental_is_strictly_above_the_mark(spark, dataset):
 def test_insert_strategy_appends_only(spark, dataset):
     source = frame(spark, (2, "changed", "2024-01-05"), (3, "c", "2024-01-05"))
     load(source, dataset, LoadSpec(mode="incremental", primary_key="k", strategy="insert"))
-    assert dataset.latest()["folders"] == ["_version=1", "_version=2"]
+    assert [f.split("-")[0] for f in dataset.latest()["folders"]] == ["_version=1", "_version=2"]
     assert kv(dataset.read()) == [(1, "a"), (2, "b"), (3, "c")]
 
 
@@ -132,7 +132,7 @@ def test_time_travel_and_vacuum(spark, dataset):
     first = dataset.versions()[-1]
     load(frame(spark, (7, "z", "2024-03-01")), dataset, LoadSpec())
     assert len(rows(dataset.read_version(first))) == 2
-    assert dataset.vacuum() == [f"_version={first}"]
+    assert [n.split("-")[0] for n in dataset.vacuum()] == [f"_version={first}"]
     assert len(rows(dataset.read())) == 1
 
 

@@ -1,5 +1,7 @@
 """The physical plans the operators must have to hold at scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from ferryline.plans.modes import high_water
 from scenarios.base import changed_orders, create_database, loaded_orders, read
 
 
+def short(target) -> list[str]:
+    """Folders of the newest commit, without the suffix of their version."""
+    return [re.sub(r"^(_version=\d+)-\w+", r"\1", f) for f in target.latest()["folders"]]
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -84,7 +91,7 @@ def test_merge_rewrites_touched_partitions_only(spark, sf_dir, scratch):
     source = changed_orders(spark, sf_dir).where("o_orderdate < timestamp_ntz'2000-01-01'")
     load(source.withColumn("o_year", year), target, LoadSpec(
         mode="incremental", primary_key="o_orderkey"))
-    folders = target.latest()["folders"]
+    folders = short(target)
     assert [f for f in folders if f.startswith("_version=2")] == ["_version=2/o_year=1999"]
     assert len(folders) == len({f.split("/")[1] for f in folders})
 
@@ -97,7 +104,7 @@ def test_rows_moving_between_partitions(spark, scratch):
          target, LoadSpec(mode="incremental", primary_key="k"))
     found = sorted(tuple(r) for r in target.read().select("k", "p", "v").collect())
     assert found == [(1, "b", "new"), (2, "b", "old"), (3, "c", "old"), (4, "d", "new")]
-    assert "_version=1/p=c" in target.latest()["folders"]
+    assert "_version=1/p=c" in short(target)
 
 
 def test_partitioned_writes_are_rebalanced(spark, sf_dir, scratch):
@@ -133,7 +140,7 @@ def test_key_holding_the_partition_needs_no_target_scan(spark, scratch):
          target, LoadSpec())
     load(spark.createDataFrame([(1, "a", "new")], "k int, p string, v string"), target,
          LoadSpec(mode="incremental", primary_key="k,p"))
-    assert target.latest()["folders"] == ["_version=1/p=b", "_version=2/p=a"]
+    assert short(target) == ["_version=1/p=b", "_version=2/p=a"]
 
 
 def test_partition_names_are_escaped(spark, scratch):
