@@ -26,6 +26,7 @@ from ..operators import shape
 from ..operators.joins import keyed_join
 from ..operators.merge import dedupe_latest, dedupe_records
 from .apispec import Endpoint, Iterate, Processor, Records, Rule
+from .targets import stage
 
 KEYS = ["endpoint", "page"]
 
@@ -278,7 +279,8 @@ def dynamic_extract(responses: DataFrame, value_column: str, path: str,
 
 def run_endpoint(responses: DataFrame, endpoint: Endpoint, schema: T.StructType) -> DataFrame:
     """The whole extract of one endpoint: rules, pagination, records, record
-    processors and record options."""
+    processors and record options. Records with a primary key are stored once
+    before they are deduplicated, so bodies are parsed one time."""
     response = endpoint.response
     records = (response.records if response else None) or Records()
     live = kept_responses(apply_rules(responses, (response.rules if response else None) or []))
@@ -294,6 +296,8 @@ def run_endpoint(responses: DataFrame, endpoint: Endpoint, schema: T.StructType)
             rows = add_record_field(rows, processor)
     names = rows.schema["record"].dataType.names
     flat = rows.select(*KEYS, "pos", *[F.col("record")[n].alias(n) for n in names])
+    if as_list(records.primary_key):
+        flat = stage(flat, "records")
     return shape_records(flat, records)
 
 

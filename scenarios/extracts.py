@@ -10,6 +10,7 @@ from ferryline.operators.shape import cast_columns
 from ferryline.plans import extract
 from ferryline.plans.apispec import (
     ApiSpec, Endpoint, Pagination, Processor, Records, Response, Rule)
+from ferryline.plans.targets import stage
 from ferryline.session import scratch_path
 
 from .base import read, scenario
@@ -24,8 +25,8 @@ EVENT = T.StructType([
 ])
 PAGE_KEYS = 500
 
-# Status of a landed page, from its number.
-STATUS = """CASE page % 11 WHEN 3 THEN 404 WHEN 5 THEN 429 WHEN 7 THEN 503 ELSE 200 END"""
+# Status of a landed page, from the number of its records.
+STATUS = """CASE WHEN n < 88 THEN 404 WHEN n < 92 THEN 429 WHEN n > 112 THEN 503 ELSE 200 END"""
 
 
 def record_struct():
@@ -33,19 +34,18 @@ def record_struct():
     return F.struct("event_id", clock.alias("ts"), "user_id", "event_type", "value", "props")
 
 
-def landed(spark, sf_dir, body=None, keys=("endpoint", "page")):
+def landed(spark, sf_dir, body=None, keys=("endpoint", "page"), stored=False,
+           mixed=False):
     """One response per event type and 500 event numbers: at most 500 records
-    each, in event order."""
+    each, in event order. ``stored`` lands them as a table first, for extracts
+    that read it more than once; ``mixed`` gives them different statuses."""
     events = read(spark, sf_dir, "events").withColumns({
         "endpoint": F.col("event_type"), "page": F.expr(f"event_id div {PAGE_KEYS}")})
     items = F.sort_array(F.collect_list(record_struct()))
     text = F.to_json(F.struct(items.alias("data"))) if body is None else body(items)
-    return (events.groupBy(*keys).agg(text.alias("body"))
-            .withColumn("status", F.lit(200)))
-
-
-def with_status(responses):
-    return responses.withColumn("status", F.expr(STATUS))
+    responses = events.groupBy(*keys).agg(text.alias("body"), F.count(F.lit(1)).alias("n"))
+    responses = responses.select(*keys, F.expr(STATUS if mixed else "200").alias("status"), "body")
+    return stage(responses, "landed") if stored else responses
 
 
 def records(spark, sf_dir):
@@ -64,7 +64,7 @@ WITH r AS (SELECT *, event_id // {PAGE_KEYS} AS page,
 @scenario("api_records_path", EVENTS)
 def api_records_path(spark, sf_dir):
     """Untyped extraction: the record types are found over all records."""
-    found = extract.records_table(landed(spark, sf_dir), "data[]")
+    found = extract.records_table(landed(spark, sf_dir, stored=True), "data[]")
     return cast_columns(found, {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint",
                                 "value": "double"}, strict=True)
 
@@ -180,9 +180,10 @@ RULES = [
     Rule("continue", "response.status == 503"),
 ]
 PAGES = f"""
-WITH p AS (SELECT DISTINCT event_type AS endpoint, CAST(event_id // {PAGE_KEYS} AS BIGINT) AS page
-           FROM events),
-     s AS (SELECT *, CAST({STATUS} AS INTEGER) AS status FROM p)
+WITH p AS (SELECT event_type AS endpoint, CAST(event_id // {PAGE_KEYS} AS BIGINT) AS page,
+                  count(*) AS n
+           FROM events GROUP BY ALL),
+     s AS (SELECT endpoint, page, CAST({STATUS} AS INTEGER) AS status FROM p)
 """
 ACTION = """CASE WHEN status = 429 THEN 'retry' WHEN status = 404 THEN 'skip'
                  WHEN status >= 500 AND page > 12 THEN 'stop' WHEN status = 503 THEN 'continue'
@@ -195,7 +196,7 @@ SELECT endpoint, page, status, {ACTION} AS action,
             WHEN status >= 500 AND page > 12 THEN 'server down' END AS message
 FROM s""")
 def api_rules_route(spark, sf_dir):
-    routed = extract.apply_rules(with_status(landed(spark, sf_dir)), RULES)
+    routed = extract.apply_rules(landed(spark, sf_dir, mixed=True), RULES)
     return routed.select("endpoint", "page", "status", "action", "message")
 
 
@@ -206,7 +207,7 @@ SELECT a.endpoint, a.page, a.status FROM a LEFT JOIN cut ON a.endpoint = cut.end
 WHERE a.action = 'continue' AND (cut.at IS NULL OR a.page < cut.at)""")
 def api_rules_kept(spark, sf_dir):
     """Pages loaded: everything before the first stop, less skips and retries."""
-    routed = extract.apply_rules(with_status(landed(spark, sf_dir)), RULES)
+    routed = extract.apply_rules(landed(spark, sf_dir, stored=True, mixed=True), RULES)
     return extract.kept_responses(routed).select("endpoint", "page", "status")
 
 
@@ -224,7 +225,7 @@ def api_rules_modifiers(spark, sf_dir):
             append_rules=[Rule("break", "response.status == 503"),
                           Rule("fail", "response.status == 429")]))})
     rules = spec.effective("fragile").response.rules
-    return extract.apply_rules(with_status(landed(spark, sf_dir)), rules).select(
+    return extract.apply_rules(landed(spark, sf_dir, mixed=True), rules).select(
         "endpoint", "page", "status", "action")
 
 
@@ -273,7 +274,7 @@ def api_pagination_stop(spark, sf_dir):
     endpoint = Endpoint(
         state={"limit": PAGE_LIMIT}, response=Response(records=Records(jmespath="data[]")),
         pagination=Pagination(stop_condition="length(response.records) < state.limit"))
-    kept = extract.paginate(landed(spark, sf_dir), endpoint)
+    kept = extract.paginate(landed(spark, sf_dir, stored=True), endpoint)
     size = F.json_array_length(F.get_json_object("body", "$.data"))
     return kept.select("endpoint", "page", size.alias("n"))
 
@@ -310,11 +311,11 @@ def api_expr_functions(spark, sf_dir):
         E.list_length(F.split(record["props"], ":")).alias("n_parts"))
 
 
-@scenario("api_endpoint_extract", f"""
+@scenario("api_endpoint_extract", PAGES + f"""
 SELECT event_id, ts, user_id, upper(event_type) AS event_type, value, props,
        CASE WHEN value > 50 THEN 'large' END AS size_class
-FROM events WHERE CASE (event_id // {PAGE_KEYS}) % 11 WHEN 3 THEN 404 WHEN 5 THEN 429
-                                                      WHEN 7 THEN 503 ELSE 200 END = 200""")
+FROM events JOIN s ON endpoint = event_type AND page = event_id // {PAGE_KEYS}
+WHERE status = 200""")
 def api_endpoint_extract(spark, sf_dir):
     """The whole path from landed responses to records, as one specification."""
     spec = ApiSpec(name="events", endpoints={"events": Endpoint(response=Response(
@@ -322,4 +323,5 @@ def api_endpoint_extract(spark, sf_dir):
         rules=[Rule("skip", "response.status in (404, 429, 503)")],
         processors=[Processor("upper(record.event_type)", "record.event_type"),
                     Processor("'large'", "record.size_class", if_condition="record.value > 50")]))})
-    return extract.run_endpoint(with_status(landed(spark, sf_dir)), spec.effective("events"), EVENT)
+    responses = landed(spark, sf_dir, stored=True, mixed=True)
+    return extract.run_endpoint(responses, spec.effective("events"), EVENT)
