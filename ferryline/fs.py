@@ -18,6 +18,11 @@ class ClusterFiles:
         jpath = self._jvm.org.apache.hadoop.fs.Path(path)
         return jpath.getFileSystem(self._conf), jpath
 
+    def qualified(self, path: str) -> str:
+        """The path with its scheme, for code that runs outside Hadoop."""
+        fs, jpath = self._open(path)
+        return fs.makeQualified(jpath).toString()
+
     def exists(self, path: str) -> bool:
         fs, jpath = self._open(path)
         return fs.exists(jpath)

@@ -50,6 +50,14 @@ class LoadReport:
     detail: dict = field(default_factory=dict)
 
 
+def mark_text(value, kind: T.DataType):
+    """A high-water mark as text that reads back the same in any session: instants
+    carry their zone offset."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return value.cast("string")
+
+
 class _Counted:
     """A DataFrame that reports its row count (and a maximum) once written, from
     the same job: the plan is never run a second time to count it."""
@@ -59,7 +67,8 @@ class _Counted:
         metrics = [F.count(F.lit(1)).alias("rows")]
         self.has_max = maximum is not None and maximum in df.columns
         if self.has_max:
-            metrics.append(F.max(shape.column(maximum)).cast("string").alias("high"))
+            kind = df.schema[maximum].dataType
+            metrics.append(mark_text(F.max(shape.column(maximum)), kind).alias("high"))
         self.df = df.observe(self.observation, *metrics)
 
     @property
@@ -153,8 +162,9 @@ def high_water(target, update_key: str, kind) -> Any:
     published with the data, else from one single-column aggregate."""
     text = target.state().get(HIGH_WATER)
     if text is None:
-        text = target.read().agg(
-            F.max(shape.column(update_key)).cast("string").alias("h")).first()["h"]
+        held = target.read()
+        text = held.agg(mark_text(F.max(shape.column(update_key)),
+                                  held.schema[update_key].dataType).alias("h")).first()["h"]
     return None if text is None else F.lit(text).cast(kind)
 
 
@@ -162,8 +172,8 @@ def _higher(df: DataFrame, update_key: str, one: str | None, two: str | None) ->
     if one is None or two is None:
         return one if two is None else two
     kind = df.schema[update_key].dataType
-    row = df.sparkSession.range(1).select(
-        F.greatest(F.lit(one).cast(kind), F.lit(two).cast(kind)).cast("string").alias("h"))
+    highest = F.greatest(F.lit(one).cast(kind), F.lit(two).cast(kind))
+    row = df.sparkSession.range(1).select(mark_text(highest, kind).alias("h"))
     return row.first()["h"]
 
 

@@ -12,6 +12,7 @@ from ..config import ReplicationStream, as_list, load_document, to_json, to_plai
 from ..enums import Mode, plain
 from ..errors import TransferError
 from ..fs import ClusterFiles
+from ..sinks.files import format_of
 from ..sources.connections import Connection, resolve
 from .steps import HookMap, StepRunner, step_from, steps_to_dict
 from .transfer import join_path, local_form, transfer_for
@@ -30,10 +31,10 @@ REPORT = T.StructType([
 def stream_names(stream: str) -> dict[str, str]:
     """Template values of a stream name: a table, or a file by its last folders."""
     path = stream.replace("file://", "").rstrip("/")
-    if "/" in path:
+    if "/" in path or format_of(path):
         folder, _, name = path.rpartition("/")
         table = name.split(".")[0]
-        schema = folder.rsplit("/", 1)[-1].replace(".", "_")
+        schema = folder.rsplit("/", 1)[-1].replace(".", "_").replace("=", "_")
     else:
         schema, _, table = path.rpartition(".")
     return {"stream_name": stream, "stream_schema": schema, "stream_table": table}

@@ -201,6 +201,10 @@ class VersionedDataset:
             parts.append(escape.getPartitionPathString(name, text))
         return "/".join(parts)
 
+    def compact(self) -> None:
+        """Rewrite the rows of many small loads as one version."""
+        self.replace(self.read(), self.state())
+
     def vacuum(self, keep: int = 1) -> list[str]:
         """Delete version folders no kept commit refers to."""
         numbers = self.versions()

@@ -149,7 +149,7 @@ class Transfer:
         return self.spark.table(stream), False
 
     def _sql_args(self, text: str) -> dict | None:
-        used = {k: v for k, v in self.env.items() if f":{k}" in text}
+        used = {k: v for k, v in self.env.items() if re.search(rf":{re.escape(str(k))}\b", text)}
         return used or None
 
     def _scan_files(self, paths: list[str]) -> DataFrame:

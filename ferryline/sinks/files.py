@@ -203,7 +203,7 @@ def _local_or_remote(path: str):
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
-def _commit_file(folder: str, name: str, attempt: int, produce) -> str:
+def commit_file(folder: str, name: str, attempt: int, produce) -> str:
     """Write ``name`` through a per-attempt temporary file and rename it, so a
     retried or speculative task leaves one complete file."""
     filesystem, root = _local_or_remote(folder)
@@ -215,7 +215,7 @@ def _commit_file(folder: str, name: str, attempt: int, produce) -> str:
     return name
 
 
-def _task_ids() -> tuple[int, int]:
+def task_ids() -> tuple[int, int]:
     from pyspark import TaskContext
 
     context = TaskContext.get()
@@ -230,7 +230,7 @@ def _save_with_tasks(df: DataFrame, path: str, write_partition, mode: str) -> Da
             files.remove(path)
         elif mode == "append":
             prefix = f"part-{len(files.names(path))}"
-    done = df.mapInArrow(write_partition(path, prefix), MANIFEST).collect()
+    done = df.mapInArrow(write_partition(files.qualified(path), prefix), MANIFEST).collect()
     return df.sparkSession.createDataFrame(done, MANIFEST)
 
 
@@ -239,7 +239,7 @@ def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
     def write_partition(folder, prefix):
         def run(batches):
-            pid, attempt = _task_ids()
+            pid, attempt = task_ids()
             total = 0
 
             def produce(out):
@@ -254,7 +254,7 @@ def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
                     writer = pa.ipc.new_file(out, empty)
                 writer.close()
 
-            name = _commit_file(folder, f"{prefix}-{pid:05d}.arrow", attempt, produce)
+            name = commit_file(folder, f"{prefix}-{pid:05d}.arrow", attempt, produce)
             yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]},
                                              schema=manifest)
         return run
@@ -282,7 +282,7 @@ def write_zip_csv(df: DataFrame, path: str, options: TargetOptions | None = None
 
     def write_partition(folder, prefix):
         def run(batches):
-            pid, attempt = _task_ids()
+            pid, attempt = task_ids()
             total = 0
 
             def produce(out):
@@ -297,7 +297,7 @@ def write_zip_csv(df: DataFrame, path: str, options: TargetOptions | None = None
                             total += batch.num_rows
                         text.flush()
 
-            name = _commit_file(folder, f"{prefix}-{pid:05d}.csv.zip", attempt, produce)
+            name = commit_file(folder, f"{prefix}-{pid:05d}.csv.zip", attempt, produce)
             yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]}, schema=manifest)
         return run
 

@@ -13,7 +13,7 @@ from ferryline import (
 from ferryline.fs import ClusterFiles
 from ferryline.plans.modes import chunked_load
 from ferryline.session import scratch_path
-from ferryline.sinks.files import write_files
+from ferryline.sinks.files import commit_file, task_ids, write_files
 from ferryline.sources.files import read_files
 
 from .base import create_database, path, read, scenario
@@ -124,18 +124,16 @@ def workbook(rows) -> bytes:
 
 def customer_workbooks(spark, sf_dir):
     """One workbook per 500 customer keys, written by the tasks."""
-    folder = scratch_path(spark, "xlsx")
+    folder = ClusterFiles(spark).qualified(scratch_path(spark, "xlsx"))
     names = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
     def save(group):
         import pandas as pd
 
-        from ferryline.sinks.files import _commit_file, _task_ids
-
         rows = [names] + group[names].values.tolist()
         content = workbook(rows)
         name = f"book-{int(group['book'].iloc[0]):06d}.xlsx"
-        _commit_file(folder, name, _task_ids()[1], lambda out: out.write(content))
+        commit_file(folder, name, task_ids()[1], lambda out: out.write(content))
         return pd.DataFrame({"file": [name], "n_rows": [len(group)]})
 
     books = read(spark, sf_dir, "customer").withColumn("book", F.expr("c_custkey div 500"))

@@ -136,5 +136,6 @@ def test_loops_and_templates():
     assert loop_values("a, b") == ["a", "b"] and loop_values(None) == [None]
     assert object_name("new.{stream_schema}_{stream_table}", "main.users") == "new.main_users"
     assert stream_names("file:///data/in/users.csv.gz")["stream_table"] == "users"
+    assert stream_names("orders.csv")["stream_table"] == "orders"
     with pytest.raises(ValueError, match="unknown name"):
         object_name("{stream_color}", "a.b")

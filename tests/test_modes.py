@@ -168,3 +168,27 @@ def test_plain_files_have_no_keyed_loads(spark, scratch):
 def test_stage_keeps_rows_and_schema(spark):
     df = frame(spark, (1, "a", "2024-01-01"))
     assert rows(stage(df, "t")) == rows(df)
+
+
+def test_marks_of_instants_survive_another_time_zone(spark, scratch):
+    target = VersionedDataset(spark, scratch)
+    source = spark.createDataFrame([(1, "2024-01-01 10:00:00"), (2, "2024-01-01 12:00:00")],
+                                   "k int, at string").withColumn("at", F.to_timestamp("at"))
+    spec = LoadSpec(mode="incremental", primary_key="k", update_key="at")
+    load(source.where("k = 1"), target, spec)
+    assert target.state()["high_water"].endswith("10:00:00.000000Z")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert load(source, target, spec).rows_in == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert target.read().count() == 2
+
+
+def test_compaction_keeps_rows_and_mark(spark, dataset):
+    load(frame(spark, (3, "c", "2024-01-03")), dataset,
+         LoadSpec(mode="incremental", update_key="d"))
+    before, mark = rows(dataset.read()), dataset.state()
+    dataset.compact()
+    assert rows(dataset.read()) == before and dataset.state() == mark
+    assert len(dataset.latest()["folders"]) == 1
