@@ -70,6 +70,9 @@ class VersionedDataset:
         self.format = plain(fmt)
         self.options = options or TargetOptions()
         self.files = ClusterFiles(spark)
+        # Published versions never change, so what was read of them stays valid.
+        self._commits: dict[int, dict] = {}
+        self._frames: dict[int, DataFrame] = {}
         found = self.latest()
         self.partition_by = found["partition_by"] if found else list(partition_by)
 
@@ -84,7 +87,10 @@ class VersionedDataset:
         return self.commit_at(numbers[-1]) if numbers else None
 
     def commit_at(self, version: int) -> dict:
-        return json.loads(self.files.read_text(f"{self.path}/_commits/{version:020d}.json"))
+        if version not in self._commits:
+            text = self.files.read_text(f"{self.path}/_commits/{version:020d}.json")
+            self._commits[version] = json.loads(text)
+        return self._commits[version]
 
     def state(self) -> dict:
         found = self.latest()
@@ -103,7 +109,10 @@ class VersionedDataset:
                 raise TransferError(f"nothing has been loaded at {self.path}")
             return self.spark.read.format(self.format).load(
                 [f"{self.path}/{n}" for n in self._plain_files()])
-        return self.read_commit(found)
+        version = found["version"]
+        if version not in self._frames:  # list the files of a version once
+            self._frames = {version: self.read_commit(found)}
+        return self._frames[version]
 
     def read_version(self, version: int) -> DataFrame:
         return self.read_commit(self.commit_at(version))
@@ -211,6 +220,7 @@ class VersionedDataset:
         kept = numbers[-keep:]
         used = {f.split("/", 1)[0] for n in kept for f in self.commit_at(n)["folders"]}
         removed = []
+        self._commits.clear()
         for name in self.files.names(self.path):
             if name.startswith("_version=") and name not in used:
                 self.files.remove(f"{self.path}/{name}")

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..config import (
     ReplicationStream, SourceOptions, TargetOptions, as_list, as_mapping, load_document)
@@ -60,7 +60,8 @@ class Transfer:
                  range: str | None = None, primary_key=None, update_key: str | None = None,
                  env=None, replication: str | None = None, pipeline: str | None = None,
                  config: str | None = None, debug: bool = False, trace: bool = False,
-                 input: Any = None, files=None, spark: SparkSession | None = None):
+                 input: Any = None, files=None, strict_casts: bool = False,
+                 spark: SparkSession | None = None):
         self.src_conn = src_conn.name if isinstance(src_conn, Connection) else src_conn
         self.src_stream = src_stream
         self.src_options = SourceOptions.from_dict(as_mapping(src_options))
@@ -86,6 +87,7 @@ class Transfer:
         self.trace = trace
         self.input = input
         self.files = list(files or [])
+        self.strict_casts = strict_casts
         self._spark = spark
         self.loaded_at: datetime.datetime | None = None
         self.before_merge = None
@@ -169,8 +171,9 @@ class Transfer:
                           columns={**(options.columns or {}), **timed},
                           untyped=[c for c in own if c not in timed])
 
-    def dataframe(self) -> DataFrame:
-        """The shaped source: where, select, casts, transforms, metadata, limit."""
+    def dataframe(self, watch: Observation | None = None) -> DataFrame:
+        """The shaped source: where, select, casts, transforms, metadata, limit.
+        ``watch`` observes how many values the casts turn into null."""
         options = self.src_options
         df, parsed = self._scan()
         if not parsed:  # the file readers apply these while reading
@@ -192,8 +195,10 @@ class Transfer:
             url = [c for c in df.columns if c == "_stream_url"]
             df = shape.select_columns(df, self.select, self.input is not None, also=url)
         types = {**(as_mapping(options.columns) or {}), **(self.columns or {})}
-        df = shape.cast_columns(df, {c: t for c, t in types.items()
-                                     if c in df.columns or not options.columns})
+        types = {c: t for c, t in types.items() if c in df.columns or not options.columns}
+        if watch is not None:
+            df = df.observe(watch, shape.cast_failures(df, types).alias("cast_nulls"))
+        df = shape.cast_columns(df, types, self.strict_casts)
         df = shape.apply_transforms(df, options.transforms)
         df = shape.apply_transforms(df, self.transforms)
         if self._env_switch("LOADED_AT_COLUMN") and plain(self.mode) != Mode.SNAPSHOT.value:
@@ -271,7 +276,11 @@ class Transfer:
             chunk_size=self.src_options.chunk_size, staging=options.table_tmp, loaded_at=self._run_time(),
             before_merge=self.before_merge, after_merge=self.after_merge)
         self._sql_around(options.pre_sql)
-        report = load(self.shaped_for_target(self.dataframe()), target, spec)
+        watched = bool(self.columns) and target.counts_rows and not spec.chunk_size
+        watch = Observation() if watched else None
+        report = load(self.shaped_for_target(self.dataframe(watch)), target, spec)
+        if watched and report.status == "success" and report.rows_in is not None:
+            report.detail["cast_nulls"] = watch.get["cast_nulls"]
         self._sql_around(options.post_sql)
         return report
 

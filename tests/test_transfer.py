@@ -252,3 +252,36 @@ def test_config_document(spark, tmp_path):
         "target": {"object": f"{tmp_path}/out", "options": {"format": "jsonlines"}}}),
         spark=spark).run()
     assert spark.read.json(f"{tmp_path}/out").agg(F.sum("age")).first()[0] == 90
+
+
+def test_lost_casts_are_counted_and_strict_casts_raise(spark, tmp_path):
+    rows = [{"id": "1", "n": "7"}, {"id": "x", "n": "8"}, {"id": None, "n": "y"}]
+
+    def run(**arguments):
+        return Transfer(input=rows, tgt_object=f"{tmp_path}/c.parquet", spark=spark,
+                        columns={"id": "int", "n": "bigint"}, **arguments).run()
+
+    assert run().detail == {"cast_nulls": 2}
+    assert run(mode="incremental", update_key="n").detail == {"cast_nulls": 2}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run(strict_casts=True)
+
+
+def test_staging_place_and_concurrency(spark, tmp_path):
+    stage_at, target = f"{tmp_path}/staging", f"{tmp_path}/t.parquet"
+    for _ in range(2):
+        Transfer(input=PEOPLE, tgt_object=target, mode="incremental", primary_key="id",
+                 tgt_options={"table_tmp": stage_at}, spark=spark).run()
+    assert spark.read.parquet(stage_at).count() == 3
+    assert Transfer(src_stream=target, spark=spark).dataframe().count() == 3
+    Transfer(input=PEOPLE, tgt_object=f"{tmp_path}/n.jsonl", tgt_options={"concurrency": 3},
+             spark=spark).run()
+    assert len(glob.glob(f"{tmp_path}/n.jsonl/part-*")) == 3
+
+
+def test_target_options_shape_the_columns(spark, tmp_path):
+    Transfer(input=[{"OrderId": 1, "unitPrice": 2.345}], tgt_object=f"{tmp_path}/s.parquet",
+             spark=spark, tgt_options={"column_casing": "snake", "max_decimals": 2,
+                                       "column_typing": {"bigint": "string"}}).run()
+    assert spark.read.parquet(f"{tmp_path}/s.parquet").first().asDict() == {
+        "order_id": "1", "unit_price": 2.35}
