@@ -36,6 +36,9 @@ class LoadSpec:
     adjust_column_type: bool = False
     chunk_size: Any = None
     staging: str | None = None
+    # The source is a whole stored columnar table: reading it again is as good
+    # as reading a staged copy.
+    source_is_stored: bool = False
     loaded_at: datetime.datetime | None = None
     before_merge: Any = None
     after_merge: Any = None
@@ -293,17 +296,16 @@ def _merge_load(rows: DataFrame, target, spec: LoadSpec, keys, mode: Mode) -> Lo
     the row count and maximum come from the job that wrote it.
     """
     strategy = MergeStrategy(plain(spec.strategy) or MergeStrategy.UPDATE_INSERT.value)
-    counted = _Counted(rows, spec.update_key)
-    staged = stage(counted.df, "extract", spec.staging)
+    staged, rows_in, top = _extract(rows, spec)
     if not spec.update_key and strategy in (MergeStrategy.UPDATE_INSERT, MergeStrategy.UPDATE):
         require_unique_keys(staged, keys)
-    report = LoadReport(mode.value, rows_in=counted.rows, rows_out=0)
-    if counted.rows == 0 and target.exists() and not spec.delete_missing:
+    report = LoadReport(mode.value, rows_in=rows_in, rows_out=0)
+    if rows_in == 0 and target.exists() and not spec.delete_missing:
         return report  # nothing to apply: publish no new version
     state = {}
     if spec.update_key:
         old = target.state().get(HIGH_WATER)
-        high = _higher(staged, spec.update_key, old, counted.high)
+        high = _higher(staged, spec.update_key, old, top)
         state = {} if high is None else {HIGH_WATER: high}
     if spec.before_merge:
         spec.before_merge()
@@ -313,6 +315,20 @@ def _merge_load(rows: DataFrame, target, spec: LoadSpec, keys, mode: Mode) -> Lo
     return report
 
 
+def _extract(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, int, str | None]:
+    """The rows to merge, their number and their largest ``update_key``.
+
+    A filtered extract is staged even when its source is stored: only the copy
+    tells the planner how small it is, and a merge source known to be small
+    leaves the target unshuffled.
+    """
+    if spec.source_is_stored and not spec.update_key and not spec.staging:
+        return rows, rows.count(), None
+    counted = _Counted(rows, spec.update_key)
+    staged = stage(counted.df, "extract", spec.staging)
+    return staged, counted.rows, counted.high
+
+
 def _first_load(staged: DataFrame, target, spec: LoadSpec, keys, strategy, state) -> int | None:
     if strategy is MergeStrategy.UPDATE:
         staged = staged.limit(0)

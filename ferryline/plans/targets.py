@@ -30,18 +30,20 @@ from ..sinks.files import write_files
 MAX_TOUCHED = 10_000
 MAX_FILTERED = 500
 
+BUCKET = "_bucket"
+
 
 def touched_partitions(target: DataFrame, source: DataFrame, keys, partition_by,
-                       most: int = MAX_TOUCHED) -> list | None:
+                       most: int = MAX_TOUCHED, known=None) -> list | None:
     """Partition values a merge changes: those of matching target rows and of the
     source rows. Only key and partition columns are read, and the target not at
-    all when the key contains the partition columns. None means "all" (not
-    partitioned, or too many to name)."""
+    all when the key contains the partition columns (``known`` lists what the key
+    determines). None means "all" (not partitioned, or too many to name)."""
     if not partition_by or any(p not in source.columns for p in partition_by):
         return None
     parts = [quoted(p) for p in partition_by]
     values = source.select(*parts)
-    if not set(partition_by) <= set(keys):
+    if not set(partition_by) <= set(known or keys):
         # A row may move between partitions, so find where its key is now.
         wanted = list(dict.fromkeys([*keys, *partition_by]))
         held = target.where(~any_null(keys)).select(*[quoted(c) for c in wanted])
@@ -58,13 +60,16 @@ class VersionedDataset:
     commit file naming the folders that make up the table, the schema and the
     load state. Readers use the newest commit, so a failed load leaves the
     table as it was. Appends add a folder; a merge into a dataset partitioned
-    by ``partition_by`` rewrites only the partitions it touches.
+    by ``partition_by`` rewrites only the partitions it touches. A dataset without
+    a natural partition can be spread over ``buckets`` folders by a hash of its
+    key columns ``bucket_by``; a merge on those then rewrites the folders its
+    source keys fall into, and finds them without reading the target.
     """
 
     counts_rows = True
 
     def __init__(self, spark: SparkSession, path: str, partition_by=(), fmt: str = "parquet",
-                 options: TargetOptions | None = None):
+                 options: TargetOptions | None = None, bucket_by=(), buckets: int = 0):
         self.spark = spark
         self.path = path.rstrip("/")
         self.format = plain(fmt)
@@ -75,6 +80,8 @@ class VersionedDataset:
         self._frames: dict[int, DataFrame] = {}
         found = self.latest()
         self.partition_by = found["partition_by"] if found else list(partition_by)
+        self.buckets = found["buckets"] if found else int(buckets)
+        self.hash_by = found["hash_by"] if found else list(bucket_by) if buckets else []
 
     # -- commits --------------------------------------------------------------
 
@@ -131,17 +138,29 @@ class VersionedDataset:
 
     # -- writes ---------------------------------------------------------------
 
+    @property
+    def folders_by(self) -> list[str]:
+        return self.partition_by + ([BUCKET] if self.hash_by else [])
+
+    def _with_bucket(self, df: DataFrame) -> DataFrame:
+        """Add the bucket number. It is computed from the text of the key, so a
+        source with another number type for it finds the same bucket."""
+        if not self.hash_by or any(k not in df.columns for k in self.hash_by):
+            return df
+        texts = ", ".join(f"CAST({quoted(k)} AS STRING)" for k in self.hash_by)
+        return df.withColumn(BUCKET, F.expr(f"CAST(pmod(xxhash64({texts}), {self.buckets}) AS INT)"))
+
     def _write_folder(self, df: DataFrame) -> tuple[int, list[str]]:
         numbers = self.versions()
         version = numbers[-1] + 1 if numbers else 1
         # The suffix keeps two loads that race for one version number apart: both
         # write, one publishes, the other raises with its files unreferenced.
         folder = f"_version={version}-{uuid.uuid4().hex[:8]}"
-        write_files(df, f"{self.path}/{folder}", self.format, self.options,
-                    partition_by=self.partition_by)
-        if not self.partition_by:
+        write_files(self._with_bucket(df), f"{self.path}/{folder}", self.format, self.options,
+                    partition_by=self.folders_by)
+        if not self.folders_by:
             return version, [folder]
-        depth = "/".join(["*=*"] * len(self.partition_by))
+        depth = "/".join(["*=*"] * len(self.folders_by))
         root = f"{self.path}/{folder}/"
         leaves = self.files.glob(root + depth)
         return version, [leaf[leaf.index(f"/{folder}/") + 1:] for leaf in leaves]
@@ -154,6 +173,8 @@ class VersionedDataset:
             "folders": folders,
             "schema": schema.jsonValue(),
             "partition_by": self.partition_by,
+            "hash_by": self.hash_by,
+            "buckets": self.buckets,
             "state": state() if callable(state) else state,
         }
         path = f"{self.path}/_commits/{version:020d}.json"
@@ -185,8 +206,12 @@ class VersionedDataset:
         """
         found = self.latest()
         new_state = found["state"] if keep_state and found else (state or {})
-        touched = None if whole or found is None else touched_partitions(
-            self.read(), source, keys, self.partition_by)
+        touched = None
+        if not whole and found is not None:
+            # The bucket follows from the key, so it counts as part of it.
+            known = [*keys, BUCKET] if set(self.hash_by) <= set(keys) else keys
+            touched = touched_partitions(self._with_bucket(self.read()), self._with_bucket(source),
+                                         keys, self.folders_by, known=known)
         if touched is None:
             return self.replace(merged(self.read()), new_state)
         if not touched:
@@ -204,7 +229,7 @@ class VersionedDataset:
         """The folder name Spark gives one combination of partition values."""
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         parts = []
-        for name in self.partition_by:
+        for name in self.folders_by:
             value = row[name]
             text = None if value is None else _partition_text(value)
             parts.append(escape.getPartitionPathString(name, text))

@@ -207,6 +207,21 @@ class Transfer:
         offset = self.offset if self.offset is not None else options.offset
         return shape.limit_offset(df, limit, offset)
 
+    def _source_is_stored(self) -> bool:
+        """Whether the source is one whole Parquet dataset or catalog table."""
+        if self.input is not None or self.where or self.limit is not None or self.offset:
+            return False
+        options = self.src_options
+        if options.limit is not None or options.offset or SQL_TEXT.match(self.src_stream or ""):
+            return False
+        location = resolve(self.src_conn, self.env) if self.src_conn else None
+        name = (self.files or [self.src_stream or (location.url if location else "")])[0]
+        if is_path(name) or (location and location.kind == "file"):
+            return (plain(options.format) or format_of(name, "parquet")) == "parquet"
+        if location and location.kind == "jdbc":
+            return False
+        return self.spark.catalog.getTable(name).tableType in ("MANAGED", "EXTERNAL")
+
     def _run_time(self) -> datetime.datetime:
         if self.loaded_at is None:
             now = datetime.datetime.now(datetime.timezone.utc)
@@ -230,8 +245,9 @@ class Transfer:
         versioned = fmt == "parquet" and (keyed or ClusterFiles(self.spark).exists(
             f"{path}/_commits"))
         if versioned:
-            keys = as_list((options.table_keys or {}).get("partition"))
-            return VersionedDataset(self.spark, path, keys, fmt, options)
+            keys = options.table_keys or {}
+            return VersionedDataset(self.spark, path, as_list(keys.get("partition")), fmt, options,
+                                    as_list(keys.get("bucket")), int(keys.get("buckets") or 0))
         return FileTarget(self.spark, path, fmt, options)
 
     def _sql_around(self, text: str | None) -> None:
@@ -273,7 +289,8 @@ class Transfer:
             ignore_existing=bool(options.ignore_existing),
             add_new_columns=bool(options.add_new_columns),
             adjust_column_type=bool(options.adjust_column_type),
-            chunk_size=self.src_options.chunk_size, staging=options.table_tmp, loaded_at=self._run_time(),
+            chunk_size=self.src_options.chunk_size, staging=options.table_tmp,
+            source_is_stored=self._source_is_stored(), loaded_at=self._run_time(),
             before_merge=self.before_merge, after_merge=self.after_merge)
         self._sql_around(options.pre_sql)
         watched = bool(self.columns) and target.counts_rows and not spec.chunk_size
