@@ -216,6 +216,8 @@ class Transfer:
             return False
         location = resolve(self.src_conn, self.env) if self.src_conn else None
         name = (self.files or [self.src_stream or (location.url if location else "")])[0]
+        if not name:
+            return False
         if is_path(name) or (location and location.kind == "file"):
             return (plain(options.format) or format_of(name, "parquet")) == "parquet"
         if location and location.kind == "jdbc":
