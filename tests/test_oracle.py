@@ -11,7 +11,7 @@ def duck(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(base.QUERIES))
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
     assert check.compare(spark, duck, name, sf_dir) == []
 
