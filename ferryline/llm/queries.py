@@ -1,4 +1,4 @@
 """The registered queries of the text operators."""
 
-from . import bpe, decontaminate, lines, quality, token_cache, toxicity, warc  # noqa: F401
+from . import bpe, decontaminate, hmm, lines, quality, token_cache, toxicity, warc  # noqa: F401
 from .shared import ORACLE, QUERIES  # noqa: F401
