@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from .shared import query, table, text_of
 
 #: Entries of the caches of a task; at the bound they are emptied.
-CACHED_CHUNKS, CACHED_PAIRS = 300_000, 600_000
+CACHED_CHUNKS, CACHED_PAIRS = 900_000, 500_000
 #: Words in one trie, and characters of text encoded at a time.
 TRIE_WORDS, SLICE_CHARS = 20_000, 4_000_000
 
@@ -77,7 +78,7 @@ class TrieBpe:
         self.reach: dict[str, int] = {}  # last three letters -> longest token that ends so
         for text in sorted([*self.inner, *self.final], key=len):
             self.reach[text[-3:]] = len(text)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     def merged(self, ids: list[int]) -> list[int]:
         """Apply the merges one by one, lowest rank first, leftmost first."""
@@ -93,58 +94,70 @@ class TrieBpe:
 
     def stands(self, a: int, b: int) -> bool:
         """Whether the merges leave token ``b`` after token ``a`` as they are."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = (a, b) not in self.merges and \
-                self.merged(self.letters[a] + self.letters[b]) == [a, b]
-            self.pairs[a, b] = known
-        return known
-
-    def _last(self, tail: str, depth: int, tokens: dict[str, int], last: list[int]) -> int:
-        """The token that ends the prefix of ``depth`` letters, whose end is ``tail``."""
-        for length in range(min(len(tail), self.reach.get(tail[-3:], 2)), 0, -1):
-            token = tokens.get(tail[-length:])
-            if token is not None and (
-                    length == depth or self.stands(last[depth - length], token)):
-                return token
-        raise ValueError(f"no token ends {tail!r}")
-
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each word, through one trie of all of them."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for letter in word:
-                below = node.get(letter)
-                if below is None:
-                    below = node[letter] = {}
-                node = below
-            node[END] = word
-        found: dict[str, list[int]] = {}
-        last = [0]  # per depth: last token of the prefix now being visited
-        longest = self.longest
-        stack = [(root, 0, "")]
-        while stack:
-            node, depth, tail = stack.pop()
-            if depth:
-                del last[depth:]
-                if node.keys() != {END}:
-                    last.append(self._last(tail, depth, self.inner, last))
-            for letter, below in node.items():
-                if letter == END:
-                    token = self._last(tail, depth, self.final, last)
-                    ids, at = [token], depth - self.size[token]
-                    while at:
-                        ids.append(last[at])
-                        at -= self.size[last[at]]
-                    found[below] = ids[::-1]
-                else:
-                    stack.append((below, depth + 1, (tail + letter)[-longest:]))
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        fits = (a, b) not in self.merges and \
+            self.merged(self.letters[a] + self.letters[b]) == [a, b]
+        self.pairs[a << 32 | b] = fits
+        return fits
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids (little-endian, 32 bits) of each word, through one trie of all.
+
+        Sorted words with the prefix each shares with the one before it are the
+        trie in depth-first order: a word enters at its shared prefix, whose
+        tokens are known, and only the nodes below are visited.
+        """
+        words = sorted(words)
+        found: dict[str, bytes] = {}
+        inner, final, pairs, reach = self.inner, self.final, self.pairs, self.reach
+        size, stands = self.size, self.stands
+        last = [0] * (max(map(len, words), default=0) + 1)  # by depth, of the current path
+        known = 0
+        for word, shared in zip(words, shared_prefixes(words)):
+            n = len(word)
+            depth = min(shared, known)
+            while depth < n:
+                depth += 1
+                tokens = inner if depth < n else final
+                length = min(depth, reach.get(word[max(0, depth - 3):depth], 2))
+                while True:
+                    token = tokens.get(word[depth - length:depth])
+                    if token is not None:
+                        if length == depth:
+                            break
+                        before = last[depth - length]
+                        fits = pairs.get(before << 32 | token)
+                        if fits or (fits is None and stands(before, token)):
+                            break
+                    length -= 1
+                    if not length:
+                        raise ValueError(f"no token ends {word[:depth]!r}")
+                last[depth] = token
+            known = n - 1  # the last letter ended a word, so its token is not a prefix's
+            ids, at = [], n
+            while at:
+                ids.append(last[at])
+                at -= size[last[at]]
+            ids.reverse()
+            found[word] = array("I", ids).tobytes()
         return found
 
 
+def shared_prefixes(words: list[str], wide: int = 48) -> list[int]:
+    """Length of the prefix each word shares with the word before it."""
+    if not words:
+        return []
+    head = np.array([w[:wide] for w in words], f"U{wide}").view(np.uint32).reshape(len(words), wide)
+    differ = head[1:] != head[:-1]
+    shared = np.where(differ.any(1), differ.argmax(1), wide)
+    out = [0, *np.minimum(shared, [len(w) for w in words[:-1]]).tolist()]
+    for k in np.flatnonzero(shared == wide) + 1:  # long words that agree so far
+        a, b = words[k - 1], words[k]
+        out[k] = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return out
+
+
 class WordTokenizer:
     """Texts to ids and back for a lower-case word vocabulary file (JSON)."""
 
@@ -173,13 +186,14 @@ class WordTokenizer:
         """Encode chunks that are not cached, words through tries of bounded size."""
         if len(self.chunks) + len(chunks) > CACHED_CHUNKS:
             self.chunks.clear()
+        whole = {c for c in chunks if c.isascii() and c.isalpha()}
         pieces = {c: [p.encode().decode("latin-1").translate(self.letters)
-                      for p in _PIECES.findall(c)] for c in chunks}
-        words = sorted({w for p in pieces.values() for w in p})
+                      for p in _PIECES.findall(c)] for c in chunks - whole}
+        words = sorted(whole.union(*pieces.values()))
         ids: dict[str, bytes] = {}
         for k in range(0, len(words), TRIE_WORDS):
-            for w, found in self.trie.encode_words(words[k:k + TRIE_WORDS]).items():
-                ids[w] = np.array(found, "<u4").tobytes()
+            ids.update(self.trie.encode_words(words[k:k + TRIE_WORDS]))
+        self.chunks.update((c, ids[c]) for c in whole)
         for chunk, own in pieces.items():
             self.chunks[chunk] = b"".join([ids[w] for w in own])
 
@@ -205,8 +219,7 @@ class WordTokenizer:
             wanted = {c for parts in split for p in parts if isinstance(p, tuple) and not p[1]
                       for c in p[0]}
         self._add(wanted)
-        rare = {w: np.array(i, "<u4").tobytes()
-                for w, i in self.trie.encode_words(sorted(lettered)).items()}
+        rare = self.trie.encode_words(lettered)
         return [b"".join([p if isinstance(p, bytes) else
                           b"".join(map((rare if p[1] else self.chunks).__getitem__, p[0]))
                           for p in parts]) for parts in split]
