@@ -1,4 +1,14 @@
 """The registered queries of the text operators."""
 
-from . import bpe, decontaminate, hmm, lines, quality, token_cache, toxicity, warc  # noqa: F401
+from . import (  # noqa: F401
+    bpe,
+    decontaminate,
+    hmm,
+    lines,
+    pii,
+    quality,
+    token_cache,
+    toxicity,
+    warc,
+)
 from .shared import ORACLE, QUERIES  # noqa: F401
