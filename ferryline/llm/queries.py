@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     bpe,
     decontaminate,
     hmm,
+    jaccard,
     lines,
     pii,
     quality,
