@@ -52,8 +52,16 @@ def words_of(text: str) -> list[bytes]:
 
 def subwords(words: list[bytes], options: ToxicityOptions) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of ``<word>``, word after word, and where each begins."""
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found, starts, done = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    for k in range(0, len(words), 10_000):
+        grams, begin = _subwords(words[k:k + 10_000], options)
+        found.append(grams)
+        starts.append(begin + done)
+        done += len(grams)
+    return np.concatenate(found), np.concatenate(starts)
+
+
+def _subwords(words: list[bytes], options: ToxicityOptions) -> tuple[np.ndarray, np.ndarray]:
     joined = np.frombuffer(b"".join([b"<" + w + b">" for w in words]), np.uint8).astype(np.uint64)
     sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), sizes)
@@ -76,7 +84,7 @@ def subwords(words: list[bytes], options: ToxicityOptions) -> tuple[np.ndarray,
     found.append(((whole * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24))
                  % np.uint64(options.buckets))
     owners.append(np.arange(len(words)))
-    owner, found = np.concatenate(owners), np.concatenate(found).astype(np.int64)
+    owner, found = np.concatenate(owners), np.concatenate(found).astype(np.int32)
     order = np.argsort(owner, kind="stable")
     return found[order], np.searchsorted(owner[order], np.arange(len(words)))
 
