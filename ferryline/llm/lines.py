@@ -194,6 +194,22 @@ def dedupe_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
         F.array_join(F.transform(left, lambda i: F.get("__lines", i)), "\n").alias("text_kept")))
 
 
+def remove_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+                          length: str | None = "n_chars", **options) -> DataFrame:
+    """The input rows with repeated lines taken out of ``text`` and its new number
+    of characters in ``length``. Rows that lose their last line with a word go;
+    rows that lose no line, empty ones too, stay as they are."""
+    found = dedupe_lines(docs, id_column, text, **options)
+    lost = F.col("n_dropped") > 0
+    row = F.col("row")
+    changed = row.withField(text, F.col("text_kept"))
+    if length is not None and length in docs.columns:
+        changed = changed.withField(
+            length, F.length("text_kept").cast(docs.schema[length].dataType))
+    return (found.where(~lost | F.col("text_kept").rlike(r"[^\x20\x09-\x0D]"))
+            .select(F.when(lost, changed).otherwise(row).alias("row")).select("row.*"))
+
+
 OP6_SQL = f"""
 WITH lines AS MATERIALIZED (
   SELECT doc_id, i, len(l) AS n_lines, l[i] AS line
