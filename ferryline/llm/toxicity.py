@@ -30,7 +30,10 @@ CACHED_WORDS = 500_000
 @dataclass(frozen=True)
 class ToxicityOptions:
     """``sample_rows``: labelled rows trained on at most, half of each label, and
-    ``sample_bytes``: of text in all; ``passage``: words averaged together."""
+    ``sample_bytes``: of text in all; ``passage``: words averaged together.
+    Training takes at least ``epochs`` and, within ``most_epochs``, ``steps``
+    batches; up to step ``whole_steps`` on whole texts, up to ``wide_steps`` on
+    passages four times as long."""
     sample_rows: int = 6_000
     sample_bytes: int = 48 << 20
     buckets: int = 1 << 18
@@ -39,6 +42,10 @@ class ToxicityOptions:
     longest: int = 6
     passage: int = 8
     epochs: int = 20
+    steps: int = 1_200
+    most_epochs: int = 100
+    whole_steps: int = 150
+    wide_steps: int = 320
     batch: int = 64
     rate: float = 0.3
     decay: float = 1e-4
@@ -117,19 +124,21 @@ class ToxicityModel:
         """Probability of the worst passage of a document's word scores."""
         return float(1 / (1 + np.exp(-self.worst(scores)[0])))
 
-    def worst(self, scores: np.ndarray) -> tuple[float, int, int]:
+    def worst(self, scores: np.ndarray, width: int | None = None) -> tuple[float, int, int]:
+        """Log odds and word range of the passage (of ``width`` words) that scores highest."""
         if not len(scores):
             return self.bias, 0, 0
         total = np.concatenate([[0.0], np.cumsum(scores)])
-        a, b = passages(len(scores), self.options.passage)
+        a, b = passages(len(scores), width or self.options.passage)
         means = (total[b] - total[a]) / (b - a)
         k = int(np.argmax(means))
         return float(means[k] + self.bias), int(a[k]), int(b[k])
 
 
 def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> ToxicityModel:
-    """Fit embeddings and softmax by Adagrad on the worst passage of each text,
-    chosen anew every epoch; the first epoch takes passages at random.
+    """Fit embeddings and softmax by Adagrad: first on whole texts, which only
+    words common to many of them can tell apart, then on the worst long and at
+    last the worst short passage of each text, chosen anew every epoch.
 
     Without rows of both labels the score is the smoothed share of label 1.
     """
@@ -147,22 +156,27 @@ def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> Toxi
     soft = rng.uniform(-1, 1, (options.dimensions, 2)) / options.dimensions
     bias = np.zeros(2)
     squares = [np.full(x.shape, 1e-6) for x in (embed, soft, bias)]
-    for epoch in range(options.epochs):
+    # The rarer label weighs more; few rows are gone over more often.
+    weight = np.sqrt(np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum()))))
+    epochs = max(options.epochs, min(options.most_epochs,
+                                     options.steps * options.batch // max(1, len(y))))
+    for epoch in range(epochs):
+        done = epoch * -(-len(y) // options.batch)
+        width = None if done < options.whole_steps else options.passage * (
+            4 if done < options.wide_steps else 1)
         model = ToxicityModel(embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]), options)
         by_word = (np.add.reduceat(model.weights[found], starts) / (ends - starts)
                    if len(starts) else np.zeros(0))
-        rate = options.rate * (1 - epoch / options.epochs)
+        rate = options.rate * (1 - epoch / epochs)
         order = rng.permutation(len(docs))
         for k in range(0, len(order), options.batch):
             batch = order[k:k + options.batch]
             spans = []
             for d in batch:
-                if epoch == 0:
-                    a, b = passages(len(docs[d]), options.passage)
-                    pick = rng.integers(len(a))
-                    spans.append(docs[d][a[pick]:b[pick]])
+                if width is None:
+                    spans.append(docs[d])
                 else:
-                    _, a, b = model.worst(by_word[docs[d]])
+                    _, a, b = model.worst(by_word[docs[d]], width)
                     spans.append(docs[d][a:b])
             words = np.concatenate(spans)
             if not len(words):
@@ -181,7 +195,7 @@ def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> Toxi
             logits = hidden @ soft + bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            error = (p - np.stack([1 - y[batch], y[batch]], 1)) / len(batch)
+            error = (p - np.stack([1 - y[batch], y[batch]], 1)) * (weight[batch] / len(batch))[:, None]
             d_hidden = error @ soft.T / sizes[:, None]
             share = np.stack([np.bincount(at, d_hidden[row, j], len(used))
                               for j in range(options.dimensions)], 1) / counts[:, None]
