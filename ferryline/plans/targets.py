@@ -10,6 +10,7 @@ import json
 import uuid
 from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,20 +26,18 @@ from ..operators.shape import quoted
 from ..session import scratch_path
 from ..sinks.files import write_files
 
-# Above this many touched partitions the whole dataset is rewritten instead. The
-# smaller bound is for tables, where the partitions are named in a filter.
-MAX_TOUCHED = 10_000
-MAX_FILTERED = 500
-
 BUCKET = "_bucket"
 
+#: State entries of streams start so; a batch load never drops them.
+STREAM_STATE = "stream_batch"
+
 
 def touched_partitions(target: DataFrame, source: DataFrame, keys, partition_by,
-                       most: int = MAX_TOUCHED, known=None) -> list | None:
-    """Partition values a merge changes: those of matching target rows and of the
-    source rows. Only key and partition columns are read, and the target not at
-    all when the key contains the partition columns (``known`` lists what the key
-    determines). None means "all" (not partitioned, or too many to name)."""
+                       known=None) -> DataFrame | None:
+    """Distinct partition values a merge changes: those of matching target rows and
+    of the source rows. Only key and partition columns are read, and the target not
+    at all when the key contains the partition columns (``known`` lists what the key
+    determines). None means "all" (not partitioned)."""
     if not partition_by or any(p not in source.columns for p in partition_by):
         return None
     parts = [quoted(p) for p in partition_by]
@@ -49,8 +48,13 @@ def touched_partitions(target: DataFrame, source: DataFrame, keys, partition_by,
         held = target.where(~any_null(keys)).select(*[quoted(c) for c in wanted])
         hit = keyed_join(held, key_rows(source, keys), keys, "left_semi")
         values = values.union(hit.select(*parts))
-    rows = values.distinct().limit(most + 1).collect()
-    return rows if len(rows) <= most else None
+    return stage(values.distinct(), "touched")
+
+
+def same_values(left: DataFrame, right: DataFrame, names):
+    """Null-safe equality of the named columns."""
+    return reduce(lambda a, b: a & b, [left[quoted(n)].eqNullSafe(right[quoted(n)])
+                                       for n in names])
 
 
 class VersionedDataset:
@@ -150,20 +154,18 @@ class VersionedDataset:
         texts = ", ".join(f"CAST({quoted(k)} AS STRING)" for k in self.hash_by)
         return df.withColumn(BUCKET, F.expr(f"CAST(pmod(xxhash64({texts}), {self.buckets}) AS INT)"))
 
-    def _write_folder(self, df: DataFrame) -> tuple[int, list[str]]:
-        numbers = self.versions()
-        version = numbers[-1] + 1 if numbers else 1
+    def _write_folder(self, df: DataFrame, version: int) -> list[str]:
         # The suffix keeps two loads that race for one version number apart: both
         # write, one publishes, the other raises with its files unreferenced.
         folder = f"_version={version}-{uuid.uuid4().hex[:8]}"
         write_files(self._with_bucket(df), f"{self.path}/{folder}", self.format, self.options,
                     partition_by=self.folders_by)
         if not self.folders_by:
-            return version, [folder]
+            return [folder]
         depth = "/".join(["*=*"] * len(self.folders_by))
         root = f"{self.path}/{folder}/"
         leaves = self.files.glob(root + depth)
-        return version, [leaf[leaf.index(f"/{folder}/") + 1:] for leaf in leaves]
+        return [leaf[leaf.index(f"/{folder}/") + 1:] for leaf in leaves]
 
     def _publish(self, version: int, folders: list[str], schema: T.StructType, state):
         """``state`` may be a function: it then runs once the rows are written,
@@ -179,24 +181,38 @@ class VersionedDataset:
         }
         path = f"{self.path}/_commits/{version:020d}.json"
         if not self.files.create_text(path, json.dumps(commit)):
-            raise TransferError(f"another load published version {version} of {self.path}")
+            raise VersionTaken(f"another load published version {version} of {self.path}")
 
     def replace(self, df: DataFrame, state=None) -> None:
-        version, folders = self._write_folder(df)
-        self._publish(version, folders, df.schema, state or {})
+        """New contents, whatever was there: the load published last counts. Marks
+        of the old contents go, the batch ids of streams stay."""
+        self._replace_after(self.latest(), df, state)
+
+    def _replace_after(self, found: dict | None, df: DataFrame, state) -> None:
+        version = found["version"] + 1 if found else 1
+        streams = {k: v for k, v in (found["state"] if found else {}).items()
+                   if k.startswith(STREAM_STATE)}
+        folders = self._write_folder(df, version)
+        self._publish(version, folders, df.schema, lambda: {**streams, **_state(state)})
 
     def append(self, df: DataFrame, state=None) -> None:
         found = self.latest()
         if found is None:
             if self._plain_files():  # adopt a dataset written by something else
                 df = self.read().unionByName(df, allowMissingColumns=True)
-            return self.replace(df, state)
-        version, folders = self._write_folder(df)
-        schema = T.StructType.fromJson(found["schema"])
-        names = {f.name for f in schema.fields}
-        schema = T.StructType(schema.fields + [f for f in df.schema.fields if f.name not in names])
-        self._publish(version, found["folders"] + folders, schema,
-                      found["state"] if state is None else state)
+            return self._replace_after(None, df, state)
+        folders = self._write_folder(df, found["version"] + 1)
+        added = _state(state)
+        while True:  # added rows fit behind whatever others have published meanwhile
+            schema = T.StructType.fromJson(found["schema"])
+            names = {f.name for f in schema.fields}
+            schema = T.StructType(
+                schema.fields + [f for f in df.schema.fields if f.name not in names])
+            try:
+                return self._publish(found["version"] + 1, found["folders"] + folders, schema,
+                                     {**found["state"], **added})
+            except VersionTaken:
+                found = self.latest()
 
     def merge_in(self, source: DataFrame, keys, merged, state=None,
                  keep_state: bool = False, whole: bool = False) -> None:
@@ -204,8 +220,11 @@ class VersionedDataset:
 
         ``merged`` is the merge as a function of the target rows it may see.
         """
+        # Pinned: the merge is published as the successor of the version it read,
+        # or not at all if another load got there first.
         found = self.latest()
-        new_state = found["state"] if keep_state and found else (state or {})
+        old = found["state"] if found else {}
+        new_state = old if keep_state else (lambda: {**old, **_state(state)})
         touched = None
         if not whole and found is not None:
             # The bucket follows from the key, so it counts as part of it.
@@ -213,27 +232,29 @@ class VersionedDataset:
             touched = touched_partitions(self._with_bucket(self.read()), self._with_bucket(source),
                                          keys, self.folders_by, known=known)
         if touched is None:
-            return self.replace(merged(self.read()), new_state)
-        if not touched:
+            return self._replace_after(found, merged(self.read()), new_state)
+        if touched.isEmpty():
             return None
-        names = {self._leaf(r) for r in touched}
-        inside = [f for f in found["folders"] if f.split("/", 1)[1] in names]
-        outside = [f for f in found["folders"] if f.split("/", 1)[1] not in names]
-        rows = self.read_commit({**found, "folders": inside})
+        inside = self._folders_of(found, touched)
+        outside = [f for f in found["folders"] if f not in inside]
+        rows = self.read_commit({**found, "folders": sorted(inside)})
         result = merged(rows)
-        version, folders = self._write_folder(result)
-        self._publish(version, outside + folders, result.schema, new_state)
+        folders = self._write_folder(result, found["version"] + 1)
+        self._publish(found["version"] + 1, outside + folders, result.schema, new_state)
         return None
 
-    def _leaf(self, row) -> str:
-        """The folder name Spark gives one combination of partition values."""
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        parts = []
-        for name in self.folders_by:
-            value = row[name]
-            text = None if value is None else _partition_text(value)
-            parts.append(escape.getPartitionPathString(name, text))
-        return "/".join(parts)
+    def _folders_of(self, found: dict, touched: DataFrame) -> set[str]:
+        """Folders of a commit that hold the touched values, compared as values:
+        what their names say, read back as the columns' types."""
+        rows = [(f, *_folder_values(f, len(self.folders_by))) for f in found["folders"]]
+        names = [f"p{i}" for i in range(len(self.folders_by))]
+        texts = self.spark.createDataFrame(
+            rows, T.StructType([T.StructField(n, T.StringType()) for n in ["folder", *names]]))
+        typed = texts.select("folder", *[
+            F.col(n).cast(touched.schema[p].dataType).alias(p)
+            for n, p in zip(names, self.folders_by)])
+        hit = typed.join(touched, same_values(typed, touched, self.folders_by), "left_semi")
+        return {r["folder"] for r in hit.select("folder").collect()}
 
     def compact(self) -> None:
         """Rewrite the rows of many small loads as one version."""
@@ -255,10 +276,18 @@ class VersionedDataset:
         return removed
 
 
-def _partition_text(value) -> str:
-    if isinstance(value, bool):
-        return str(value).lower()
-    return str(value)
+class VersionTaken(TransferError):
+    """Another load has published the version this one would have become."""
+
+
+def _state(state) -> dict:
+    return (state() if callable(state) else state) or {}
+
+
+def _folder_values(folder: str, parts: int) -> list[str | None]:
+    """Partition values a folder's name holds, as text; null has a name of its own."""
+    values = [unquote(p.split("=", 1)[1]) for p in folder.split("/")[-parts:]]
+    return [None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values]
 
 
 @contextmanager
@@ -348,9 +377,9 @@ class CatalogTable:
         """Rewrite the touched partitions of a partitioned table, else the table."""
         parts = self.partitions()
         target = self.read()
-        touched = None if whole else touched_partitions(target, source, keys, parts, MAX_FILTERED)
+        touched = None if whole else touched_partitions(target, source, keys, parts)
         if touched is not None:
-            if touched:
+            if not touched.isEmpty():
                 self._rewrite_partitions(target, parts, touched, merged)
             return
         result = merged(target)
@@ -360,10 +389,8 @@ class CatalogTable:
             self.overwrite_rows(result)
 
     def _rewrite_partitions(self, target: DataFrame, parts, touched, merged) -> None:
-        inside = reduce(lambda a, b: a | b, [
-            reduce(lambda a, b: a & b, [
-                F.col(quoted(p)).eqNullSafe(F.lit(row[p])) for p in parts]) for row in touched])
-        result = merged(target.where(inside))
+        inside = target.join(touched, same_values(target, touched, parts), "left_semi")
+        result = merged(inside)
         missing = [f for f in result.schema if f.name not in target.columns]
         if missing:
             added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
@@ -373,11 +400,19 @@ class CatalogTable:
         with overwriting_partitions(self.spark):
             staged.write.insertInto(self.name, overwrite=True)
         # Dynamic overwrite leaves partitions the merge has emptied; drop those.
-        filled = {tuple(r) for r in staged.select(*[quoted(p) for p in parts]).distinct().collect()}
-        for row in touched:
-            if tuple(row) not in filled and None not in tuple(row):
-                spec = ", ".join(f"{quoted(p)} = '{str(row[p])}'" for p in parts)
-                self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+        filled = staged.select(*[quoted(p) for p in parts]).distinct()
+        emptied = touched.join(filled, same_values(touched, filled, parts), "left_anti")
+        texts = [F.col(quoted(p)).cast("string").alias(p) for p in parts]
+        for row in emptied.select(*texts).collect():  # partitions, not rows
+            spec = ", ".join(f"{quoted(p)} = {_sql_text(row[p])}" for p in parts)
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _sql_text(value: str | None) -> str:
+    if value is None:
+        return "null"
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 class JdbcTable:

@@ -6,15 +6,16 @@ checkpoint folder carries the progress from run to run.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import as_list
+from ..fs import ClusterFiles
 from ..operators.merge import merge
-from ..plans.targets import VersionedDataset
-
-BATCH = "stream_batch"
+from ..plans.targets import STREAM_STATE, VersionedDataset
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -36,16 +37,20 @@ def upsert_stream(stream: DataFrame, target: VersionedDataset, primary_key, chec
                   strategy: str = "update_insert", update_key: str | None = None) -> None:
     """Merge every micro-batch into the target with the batch merge operator.
 
-    The batch id is published with the merged data, so a replayed batch is
-    recognised and left out.
+    The batch id is published with the merged data under the id of the query, as
+    its checkpoint has it: a replayed batch is recognised and left out, and other
+    streams or checkpoints on the same target count for themselves.
     """
     keys = as_list(primary_key)
+    files = ClusterFiles(stream.sparkSession)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        done = target.state().get(BATCH)
+        query_id = json.loads(files.read_text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        mine = f"{STREAM_STATE}:{query_id}"
+        done = target.state().get(mine)
         if done is not None and batch_id <= done:
             return
-        state = {**target.state(), BATCH: batch_id}
+        state = {mine: batch_id}
         if not target.exists():
             empty = batch.limit(0)
             target.replace(merge(empty, batch, keys, strategy, update_key), state)
