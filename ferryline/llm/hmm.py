@@ -240,6 +240,7 @@ class CorpusCounts:
     words: int
     frequent: list[bytes]
     logs: np.ndarray  # log10(c + 1) of the frequent words
+    kinds: np.ndarray  # class of the frequent words
     class_tokens: np.ndarray  # per class
     shared_room: np.ndarray  # log10(N + V + 1) of each shared class
 
@@ -260,9 +261,12 @@ class CorpusCounts:
             tokens[b] -= r["c"]
             words[b] -= 1
         counts[options.lexicon:] = tokens
-        return cls(total["n"] or 0, total["v"], [r["word"].encode() for r in top],
-                   np.log10(np.array([r["c"] for r in top], float) + 1), counts,
-                   np.log10(tokens + words + 1))
+        frequent = [r["word"].encode() for r in top]
+        kinds = [k if k < options.lexicon else
+                 options.lexicon + hashed_class(w, options.shared) for k, w in enumerate(frequent)]
+        return cls(total["n"] or 0, total["v"], frequent,
+                   np.log10(np.array([r["c"] for r in top], float) + 1),
+                   np.array(kinds, np.int64), counts, np.log10(tokens + words + 1))
 
 
 SEQUENCES = T.StructType([
@@ -290,9 +294,8 @@ def class_sequences(rows: DataFrame, counts: CorpusCounts, options: HmmOptions)
                     words = words_of(text)
                     ids = np.fromiter(map(lexicon.__getitem__, words), np.int64, len(words))
                     frequent = ids[ids >= 0]
-                    kind = np.where(ids < 0, options.lexicon - 1 - ids, ids)
-                    for i in np.flatnonzero(ids >= own):
-                        kind[i] = options.lexicon + hashed_class(words[i], options.shared)
+                    kind = options.lexicon - 1 - ids
+                    kind[ids >= 0] = counts.kinds[frequent]
                     room = counts.shared_room[kind[kind >= options.lexicon] - options.lexicon]
                     out.append((len(ids), len(frequent), float(counts.logs[frequent].sum()),
                                 float(counts.logs[frequent[frequent < own]].sum()),
