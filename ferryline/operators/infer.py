@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from .shape import column, quoted, text_columns
 
-# The text each type accepts. Leading zeros keep a value text.
-WHOLE = "^[+-]?(0|[1-9][0-9]*)$"
-FRACTION = "^[+-]?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# The text each type accepts. Leading zeros and plus signs keep a
+# value text, and so do more digits than the type holds.
+WHOLE = "^-?(0|[1-9][0-9]*)$"
+FRACTION = "^-?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+DOUBLE_DIGITS = 15
 DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?$"
 
@@ -27,11 +29,13 @@ def fitting_types(name: str) -> str:
     """SQL for the bits of the types a text value can be read as (null for null).
 
     Cheap looks at length and single characters pick the one pattern worth
-    matching. Whole numbers too long for a bigint fit no type, and so keep all
-    their digits as text.
+    matching. Numbers keep all their digits: whole ones too long for a bigint and
+    fractions too long for a double fit no type, and whole ones too long for a
+    double fit bigint only.
     """
     v = quoted(name)
     whole, double = BITS["bigint"] | BITS["double"], BITS["double"]
+    fits = (f"length(regexp_replace(split({v}, '[eE]')[0], '[^0-9]', '')) <= {DOUBLE_DIGITS}")
     date, stamp = BITS["date"] | BITS["timestamp_ntz"], BITS["timestamp_ntz"]
     return f"""
         CASE WHEN {v} IS NULL THEN NULL
@@ -43,8 +47,9 @@ def fitting_types(name: str) -> str:
                        ELSE 0 END
              WHEN substr({v}, 1, 1) BETWEEN '+' AND '9' THEN
                   CASE WHEN {v} RLIKE '{WHOLE}' THEN
-                            IF(try_cast({v} AS BIGINT) IS NOT NULL, {whole}, 0)
-                       WHEN {v} RLIKE '{FRACTION}' THEN {double}
+                            IF(try_cast({v} AS BIGINT) IS NULL, 0,
+                               IF(length({v}) <= {DOUBLE_DIGITS}, {whole}, {whole - double}))
+                       WHEN {v} RLIKE '{FRACTION}' AND {fits} THEN {double}
                        ELSE 0 END
              WHEN length({v}) IN (4, 5) AND lower({v}) IN ('true', 'false') THEN {BITS["boolean"]}
              ELSE 0 END"""

@@ -144,7 +144,7 @@ def limit_offset(df: DataFrame, limit: int | None = None, offset: int | None = N
 def exec_limit(df: DataFrame, limit: int | None) -> DataFrame:
     """Query results: unset means 100 rows, 0 means all of them."""
     if limit is not None and (isinstance(limit, bool) or not isinstance(limit, int) or limit < 0):
-        raise ValueError(f"limit must be a non-negative integer or None, got {limit!r}")
+        raise ValueError(f"limit counts rows; {limit!r} is no such count")
     if limit == 0:
         return df
     return df.limit(100 if limit is None else limit)

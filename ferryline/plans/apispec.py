@@ -340,22 +340,21 @@ class ApiSpec(Part):
         """Messages for everything wrong with the document; empty when it is valid."""
         problems = []
         if not self.name:
-            problems.append("'name' is required")
+            problems.append("the specification has no name")
         if not self.endpoints and not self.dynamic_endpoints:
-            problems.append("at least one of 'endpoints' or 'dynamic_endpoints' must have entries")
+            problems.append("nothing to extract: no endpoints and no dynamic_endpoints")
         places = [("defaults", self.defaults)]
         places += [(f"endpoints.{n}", e) for n, e in (self.endpoints or {}).items()]
         for place, endpoint in places:
             records = getattr(getattr(endpoint, "response", None), "records", None)
             if records and records.jmespath is not None and records.jq is not None:
-                problems.append("'jmespath' and 'jq' are mutually exclusive in "
-                                f"{place}.response.records")
+                problems.append(f"{place}.response.records: choose jmespath or jq, not both")
         for place, endpoint in places[1:]:
             problems += self._queue_problems(place, endpoint)
         for place, endpoint in places[1:]:
             written = {p.output for _, p in _processors(endpoint) if p.output}
             problems += [
-                f"sync key '{key}' in {place} has no processor writing to 'state.{key}'"
+                f"{place}.sync: state.{key} is kept but no processor sets it"
                 for key in endpoint.sync or [] if f"state.{key}" not in written]
         return problems
 
@@ -366,8 +365,7 @@ class ApiSpec(Part):
         used.append((over, f"{place}.iterate{suffix}"))
         declared = set(self.queues or [])
         return [
-            f"queue '{ref.removeprefix('queue.')}' referenced in {where} is not declared in "
-            "'queues'"
+            f"{where}: {ref} is missing from the queues of the specification"
             for ref, where in used
             if declared and isinstance(ref, str) and ref.startswith("queue.")
             and ref.removeprefix("queue.") not in declared]

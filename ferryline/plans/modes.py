@@ -191,7 +191,10 @@ def incremental(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
     if spec.update_key and target.exists():
         mark = high_water(target, spec.update_key, source.schema[spec.update_key].dataType)
         if mark is not None:
-            rows = source.where(shape.column(spec.update_key) > mark)
+            key = shape.column(spec.update_key)
+            # Rows without an update key are never above the mark. A merge by key
+            # takes them every time; an append would repeat them, so it does not.
+            rows = source.where((key > mark) | key.isNull() if keys else key > mark)
     if keys:
         return _merge_load(rows, target, spec, keys, Mode.INCREMENTAL)
     if not target.exists():

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SourceOptions
+from ..operators.schema import common_type
 from ..operators.shape import column
+from ..sinks.files import arrow_schema
 
 BATCH_ROWS = 10_000
 
@@ -44,7 +46,8 @@ def _open_ipc(content: bytes):
 
 
 def arrow_file_schema(files: DataFrame) -> T.StructType:
-    """Schema of the first file, read inside a task: only its text comes back."""
+    """Union of the files' schemas, by name. The schemas are read inside tasks;
+    only the distinct ones come back."""
     def describe(batches):
         from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -54,18 +57,25 @@ def arrow_file_schema(files: DataFrame) -> T.StructType:
                 text = from_arrow_schema(schema, prefer_timestamp_ntz=True).json()
                 yield pa.RecordBatch.from_pydict({"schema": [text]})
 
-    row = files.select("content").limit(1).mapInArrow(describe, "schema string").first()
-    if row is None:
+    rows = (files.select("content").mapInArrow(describe, "schema string").groupBy("schema")
+            .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "schema").collect())
+    if not rows:
         raise ValueError("no Arrow files to read")
     import json
 
-    return T.StructType.fromJson(json.loads(row["schema"]))
+    fields: dict[str, T.DataType] = {}
+    for row in rows:
+        for field in T.StructType.fromJson(json.loads(row["schema"])):
+            held = fields.get(field.name)
+            fields[field.name] = field.dataType if held is None else common_type(
+                held, field.dataType)
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
 def read_arrow(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
     files = _files(spark, paths)
     schema = schema or arrow_file_schema(files)
-    names = schema.names
+    wanted = arrow_schema(schema)
 
     def decode(batches):
         for batch in batches:
@@ -73,7 +83,10 @@ def read_arrow(spark: SparkSession, paths, schema: T.StructType | None = None) -
                 _, found = _open_ipc(content.as_py())
                 for rows in found:
                     for start in range(0, rows.num_rows, BATCH_ROWS):
-                        yield rows.select(names).slice(start, BATCH_ROWS)
+                        part = rows.slice(start, BATCH_ROWS)
+                        yield pa.RecordBatch.from_arrays([
+                            part.column(f.name).cast(f.type) if f.name in part.schema.names
+                            else pa.nulls(part.num_rows, f.type) for f in wanted], schema=wanted)
 
     return files.select("content").mapInArrow(decode, schema)
 

@@ -6,6 +6,10 @@ column expressions over the scan, and type inference is one aggregate pass.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,23 +133,61 @@ def _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url, m
 # -- csv -------------------------------------------------------------------------
 
 
-def has_broken_lines(spark: SparkSession, paths) -> bool:
-    """Whether some quoted value holds a line break: a physical line then has an
-    odd number of quotes. Files without one can be split between tasks; files
-    with one are read whole, one per task. One text scan that ends at the first
-    such line; pass ``multi_line`` to skip it."""
+def file_heads(spark: SparkSession, paths, *extra) -> DataFrame:
+    """``file, head`` (its first line that is not blank) and further aggregates per
+    file: one scan, one small row per file and task."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+    head = F.min_by("value", F.when(F.trim("value") != "", F.col("place")))
+    return lines.groupBy("file").agg(head.alias("head"), *extra).orderBy("file")
+
+
+def file_pattern(uri: str) -> str:
+    """A file's path as a reader takes it: decoded, wildcards taken literally."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(uri))
+
+
+def csv_layouts(spark: SparkSession, paths) -> list[tuple[str, bool, list[str]]]:
+    """(header line, line breaks in quotes, files) of every kind of file.
+
+    A quoted value with a line break leaves a physical line with an odd number of
+    quotes. Such files are read whole, one per task; the others stay splittable.
+    """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return spark.read.text(paths).where(quotes % 2 == 1).first() is not None
+    kinds: dict[tuple[str, bool], list[str]] = {}
+    for row in file_heads(spark, paths, F.max(quotes % 2 == 1).alias("broken")).collect():
+        head = (row["head"] or "").removeprefix("\ufeff").rstrip("\r")
+        kinds.setdefault((head, bool(row["broken"])), []).append(file_pattern(row["file"]))
+    return [(head, broken, files) for (head, broken), files in kinds.items()]
 
 
 def read_csv(spark: SparkSession, paths, options: SourceOptions, on_malformed: str = "pad",
              schema=None, stream_url: bool = False, multi_line: bool | None = None
              ) -> DataFrame:
+    """Files with the same header are read together; different headers are united
+    by name. With a ``schema`` or without headers, columns go by position."""
     header = options.header is not False
-    mode = {"pad": "PERMISSIVE", "skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_malformed]
-
+    by_name = header and schema is None and not options.fields_per_rec
     if multi_line is None:
-        multi_line = has_broken_lines(spark, paths)
+        layouts = csv_layouts(spark, paths)
+        parts = [(files, broken) for _, broken, files in layouts]
+        if not by_name:
+            parts = [([f for files, b in parts if b == broken for f in files], broken)
+                     for broken in sorted({b for _, b in parts})]
+        if len(parts) < 2:  # one kind of file: the paths as they were given
+            parts = [(paths, parts[0][1] if parts else False)]
+    else:
+        parts = [(paths, multi_line)]
+    frames = [_read_csv_files(spark, files, options, on_malformed, schema, stream_url, whole)
+              for files, whole in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True) if by_name
+                  else a.union(b), frames)
+
+
+def _read_csv_files(spark, paths, options, on_malformed, schema, stream_url, multi_line):
+    header = options.header is not False
+    mode = {"pad": "PERMISSIVE", "skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_malformed]
 
     def reader():
         r = (spark.read.option("header", header).option("mode", mode)
@@ -186,22 +228,35 @@ def malformed_rows(spark: SparkSession, paths, options: SourceOptions | dict | N
 # -- json ------------------------------------------------------------------------
 
 
-def json_is_array(spark: SparkSession, paths) -> bool:
-    """Whether the files hold one JSON array each (looks at one line)."""
-    line = spark.read.text(paths).where(F.trim("value") != "").first()
-    return bool(line) and line["value"].lstrip().startswith("[")
+def json_documents(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
+    """(files of one JSON value each, files of a value per line), told apart by
+    each file's own first line that is not blank: whether it is a value by itself."""
+    first = file_heads(spark, paths)
+    line = F.trim("head")
+    whole = line.startswith("[") | (
+        line.startswith("{") & F.get_json_object("head", "$").isNull())
+    found = first.select("file", F.coalesce(whole, F.lit(False)).alias("whole")).collect()
+    return ([file_pattern(r["file"]) for r in found if r["whole"]],
+            [file_pattern(r["file"]) for r in found if not r["whole"]])
 
 
 def _read_json(spark, paths, fmt, options, schema) -> DataFrame:
-    """Array files give columns; JSON lines give one text column ``data``,
-    unless the records are flattened or a record path is set."""
+    """Files of one array or object give columns; JSON lines give one text column
+    ``data``, unless the records are flattened, a record path is set, or other
+    files of the load give columns."""
     if options.jmespath:
         body = spark.read.text(paths, wholetext=fmt == "json").withColumnRenamed("value", "data")
         return extract_records(body, "data", options.jmespath, keep=[])
-    if fmt == "json" and json_is_array(spark, paths):
-        reader = spark.read.option("multiLine", True)
-        return (reader.schema(schema) if schema else reader).json(paths)
+
+    def reader(**with_options):
+        made = spark.read.options(**with_options)
+        return made.schema(schema) if schema else made
+
+    if fmt == "json":
+        whole, lines = json_documents(spark, paths)
+        if whole:
+            df = reader(multiLine=True).json(whole)
+            return df.unionByName(reader().json(lines), allowMissingColumns=True) if lines else df
     if options.flatten or schema is not None:
-        reader = spark.read
-        return (reader.schema(schema) if schema else reader).json(paths)
+        return reader().json(paths)
     return spark.read.text(paths).withColumnRenamed("value", "data")

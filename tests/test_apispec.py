@@ -105,18 +105,18 @@ def test_run_order_follows_queues_and_dependencies():
 
 
 @pytest.mark.parametrize("change, message", [
-    ({"name": None}, "'name' is required"),
-    ({"endpoints": None, "dynamic_endpoints": None}, "at least one of"),
+    ({"name": None}, "has no name"),
+    ({"endpoints": None, "dynamic_endpoints": None}, "nothing to extract"),
     ({"defaults": Endpoint(response=Response(records=Records("a[]", ".a[]")))},
-     "mutually exclusive in defaults.response.records"),
+     "defaults.response.records: choose"),
     ({"endpoints": {"e": Endpoint(response=Response(records=Records("a[]", ".a[]")))}},
-     "mutually exclusive in endpoints.e.response.records"),
+     "endpoints.e.response.records: choose"),
     ({"endpoints": {"e": Endpoint(iterate="queue.none")}},
-     "queue 'none' referenced in endpoints.e.iterate is not declared"),
+     "endpoints.e.iterate: queue.none is missing"),
     ({"endpoints": {"e": Endpoint(iterate=Iterate("queue.none"))}}, "endpoints.e.iterate.over"),
     ({"endpoints": {"e": Endpoint(response=Response(append_processors=[
         Processor("a", "queue.none")]))}}, "endpoints.e.processors[0].output"),
-    ({"endpoints": {"e": Endpoint(sync=["k"])}}, "sync key 'k' in endpoints.e"),
+    ({"endpoints": {"e": Endpoint(sync=["k"])}}, "endpoints.e.sync: state.k"),
 ])
 def test_checks(change, message):
     spec = ApiSpec.parse(DOCUMENT)
