@@ -70,31 +70,20 @@ def require_unique_keys(df: DataFrame, keys) -> None:
         raise ValueError(f"{doubles} source keys occur more than once and no update_key is set")
 
 
-def size_estimate(df: DataFrame) -> int:
-    """The optimizer's size estimate for ``df`` in bytes (an upper bound for
-    filtered scans). Used only to choose between equivalent plan shapes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= size_estimate(df) <= limit
-
-
 def new_rows(target: DataFrame, source: DataFrame, keys, source_keys=None,
              co_located: bool = False) -> DataFrame:
     """Source rows whose key the target lacks, null keys included.
 
-    A small source is first used to cut the target's keys down to the matching
-    ones (a broadcast semi join), so the target is never shuffled for it.
+    The target's keys are first cut down to the source's, so of the target only
+    keys that can match are carried further, and none at all of its other columns.
     """
-    keyed, loose = split_null_keys(source, keys)
-    present = target.where(~any_null(keys)).select(*[quoted(k) for k in keys])
-    if is_small(source):
-        wanted = key_rows(source, keys) if source_keys is None else source_keys
-        present = present.join(wanted, keys, "left_semi")
-    fresh = keyed_join(keyed, present.distinct(), keys, "left_anti", co_located)
-    return in_order(fresh, source).unionByName(loose)
+    wanted = key_rows(source, keys) if source_keys is None else source_keys
+    present = target.select(*[quoted(k) for k in keys]).join(wanted, keys, "left_semi")
+    if co_located:  # bucketed sides keep their tasks, so null keys stay apart
+        keyed, loose = split_null_keys(source, keys)
+        fresh = keyed_join(keyed, present.distinct(), keys, "left_anti", True)
+        return in_order(fresh, source).unionByName(loose)
+    return in_order(keyed_join(source, present.distinct(), keys, "left_anti"), source)
 
 
 def in_order(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -103,16 +92,18 @@ def in_order(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def unmatched(target: DataFrame, source_keys: DataFrame, keys, co_located=False) -> DataFrame:
-    keyed, loose = split_null_keys(target, keys)
-    kept = keyed_join(keyed, source_keys, keys, "left_anti", co_located)
-    return in_order(kept, target).unionByName(loose)
+    if co_located:
+        keyed, loose = split_null_keys(target, keys)
+        kept = keyed_join(keyed, source_keys, keys, "left_anti", True)
+        return in_order(kept, target).unionByName(loose)
+    return in_order(keyed_join(target, source_keys, keys, "left_anti"), target)
 
 
 def update_rows(target: DataFrame, source: DataFrame, keys, co_located: bool = False) -> DataFrame:
     """Existing rows updated in place; no new rows. Where the source has the key
     its columns win, even when null; columns it lacks keep the target's value.
     """
-    keyed, loose = split_null_keys(target, keys)
+    keyed, loose = split_null_keys(target, keys) if co_located else (target, None)
     changed = {c: f"__src_{i}" for i, c in enumerate(source.columns) if c not in keys}
     incoming = source.where(~any_null(keys)).selectExpr(
         *[quoted(k) for k in keys], *[f"{quoted(c)} AS {a}" for c, a in changed.items()],
@@ -121,7 +112,7 @@ def update_rows(target: DataFrame, source: DataFrame, keys, co_located: bool = F
     updated = joined.selectExpr(*[
         f"CASE WHEN {_HIT} THEN {changed[c]} ELSE {quoted(c)} END AS {quoted(c)}"
         if c in changed else quoted(c) for c in target.columns])
-    return updated.unionByName(loose)
+    return updated if loose is None else updated.unionByName(loose)
 
 
 def _fill(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -144,6 +135,16 @@ def update_insert(target: DataFrame, source: DataFrame, keys, source_keys: DataF
     return update_rows(target, source, keys, co_located).unionByName(inserts)
 
 
+def replaced(target: DataFrame, source: DataFrame, keys, co_located: bool = False) -> DataFrame:
+    """Every source row, with the columns it lacks from the target row of its key:
+    an update and insert that also deletes what the source does not have."""
+    lacking = [c for c in target.columns if c not in source.columns]
+    if not lacking:
+        return in_order(source, target)
+    held = target.where(~any_null(keys)).select(*[quoted(c) for c in [*keys, *lacking]])
+    return _fill(keyed_join(source, held, keys, "left_outer", co_located), target)
+
+
 def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_insert",
           update_key: str | None = None, delete_missing: bool = False,
           check_unique: bool = True, co_located: bool = False) -> DataFrame:
@@ -183,8 +184,8 @@ def merge(target: DataFrame, source: DataFrame, primary_key, strategy="update_in
     elif check_unique:
         require_unique_keys(source, keys)
     if delete_missing:
-        if strategy is MergeStrategy.UPDATE_INSERT and set(target.columns) <= set(source.columns):
-            return in_order(source, target)
+        if strategy is MergeStrategy.UPDATE_INSERT:
+            return replaced(target, source, keys, co_located)
         known = keyed_join(target.where(~any_null(keys)), source_keys, keys, "left_semi",
                            co_located)
         target = in_order(known, target)

@@ -183,3 +183,25 @@ def test_whole_stored_sources_are_not_copied(spark, sf_dir, scratch, monkeypatch
     assert staged == []
     Transfer(**run, where="o_orderkey < 10").run()
     assert len(staged) == 1
+
+
+@pytest.mark.parametrize("options, most", [
+    ({}, 5), ({"strategy": "delete_insert"}, 3), ({"strategy": "update"}, 2),
+    ({"delete_missing": True}, 2)])
+def test_merges_scan_each_side_few_times(spark, sf_dir, options, most):
+    target = loaded_orders(spark, sf_dir).withColumn("note", F.lit("kept"))
+    found = plan(merge(target, changed_orders(spark, sf_dir), "o_orderkey", check_unique=False,
+                       **options))
+    assert found.split("Initial Plan")[0].count("FileScan") <= most
+
+
+@pytest.mark.parametrize("strategy", ["update_insert", "delete_insert", "update"])
+def test_null_keys_are_spread(spark, sf_dir, no_broadcast, strategy):
+    lines = read(spark, sf_dir, "lineitem").withColumn(
+        "l_orderkey", F.expr("if(l_partkey % 2 = 0, null, l_orderkey)"))
+    source = read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "'X' AS l_returnflag")
+    result = merge(lines, source, "l_orderkey", strategy, check_unique=False)
+    nulls = lines.where("l_orderkey IS NULL").count()
+    parts = result.where("l_orderkey IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == nulls
