@@ -16,6 +16,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,9 @@ from pyspark.sql import types as T
 from .shared import query, table, text_of
 
 #: Entries of the caches of a task; at the bound they are emptied.
-CACHED_CHUNKS, CACHED_PAIRS = 900_000, 500_000
+CACHED_CHUNKS, CACHED_PAIRS = 350_000, 250_000
 #: Words in one trie, and characters of text encoded at a time.
-TRIE_WORDS, SLICE_CHARS = 20_000, 4_000_000
+TRIE_WORDS, SLICE_CHARS = 20_000, 1_000_000
 
 END = "</w>"
 
@@ -162,10 +163,8 @@ class WordTokenizer:
     """Texts to ids and back for a lower-case word vocabulary file (JSON)."""
 
     def __init__(self, content: bytes):
-        from tokenizers import Tokenizer
-
         spec = json.loads(content)
-        self.library = Tokenizer.from_str(content.decode())
+        self.content = content
         self.trie = TrieBpe(spec["model"]["vocab"], spec["model"]["merges"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = np.empty(1 + max([*self.trie.names, *self.special.values()]), object)
@@ -175,6 +174,13 @@ class WordTokenizer:
         self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.chunks: dict[str, bytes] = {}  # stretch without white space -> its ids
 
+    @cached_property
+    def library(self):
+        """The library's own tokenizer, asked only about unusual texts."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.content.decode())
+
     def _split(self, text: str) -> tuple[list[str], bool]:
         """Chunks of an ordinary text, and whether they are byte letters already."""
         if _UNUSUAL.search(text) is None:

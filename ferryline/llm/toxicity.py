@@ -148,10 +148,12 @@ def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> Toxi
         return ToxicityModel(np.zeros(options.buckets), float(np.log(share / (1 - share))), options)
     rng = np.random.default_rng(options.seed)
     index: dict[bytes, int] = {}
-    docs = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], np.int64)
+    docs = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], np.int32)
             for t in texts]
     found, starts = subwords(list(index), options)
+    del index
     ends = np.append(starts[1:], len(found))
+    by_word = np.zeros(len(starts), np.float32)
     embed = rng.uniform(-1, 1, (options.buckets, options.dimensions)) / options.dimensions
     soft = rng.uniform(-1, 1, (options.dimensions, 2)) / options.dimensions
     bias = np.zeros(2)
@@ -165,8 +167,11 @@ def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> Toxi
         width = None if done < options.whole_steps else options.passage * (
             4 if done < options.wide_steps else 1)
         model = ToxicityModel(embed @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]), options)
-        by_word = (np.add.reduceat(model.weights[found], starts) / (ends - starts)
-                   if len(starts) else np.zeros(0))
+        for k in range(0, len(starts), 50_000):  # some words at a time
+            own = slice(starts[k], ends[min(k + 50_000, len(ends)) - 1])
+            begin = starts[k:k + 50_000]
+            by_word[k:k + 50_000] = np.add.reduceat(
+                model.weights[found[own]], begin - begin[0]) / (ends[k:k + 50_000] - begin)
         rate = options.rate * (1 - epoch / epochs)
         order = rng.permutation(len(docs))
         for k in range(0, len(order), options.batch):
@@ -249,7 +254,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_column: s
         kept.append((r["__id"], r["__y"], r["__h"]))
     rows = sorted(sampled(spark.createDataFrame(kept, known.schema))
                   .agg(F.min("__text").alias("t")).collect(), key=lambda r: r["__h"])
-    return train([r["t"] for r in rows], [r["__y"] for r in rows], options)
+    texts, y = [r["t"] for r in rows], [r["__y"] for r in rows]
+    del rows
+    return train(texts, y, options)
 
 
 SCORES = T.StructType([
