@@ -7,6 +7,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def aside(path: str) -> str:
+    """An unused name beside ``path`` that readers of the folder pass over."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{uuid.uuid4().hex}-{name}"
+
+
 class ClusterFiles:
     """Hadoop FileSystem access for any scheme Spark itself can read."""
 
@@ -72,6 +78,17 @@ class ClusterFiles:
         finally:
             fs.delete(staged, False)
 
+    def swap(self, fresh: str, path: str) -> None:
+        """Put ``fresh`` in the place of ``path``; what was there is removed last."""
+        fs, jpath = self._open(path)
+        old = self._open(f"{aside(path)}")[1]
+        if not fs.rename(jpath, old):
+            raise OSError(f"{path} cannot be moved aside")
+        if not fs.rename(self._open(fresh)[1], jpath):
+            fs.rename(old, jpath)
+            raise OSError(f"{fresh} cannot take the place of {path}")
+        fs.delete(old, True)
+
     def remove(self, path: str) -> None:
         fs, jpath = self._open(path)
         fs.delete(jpath, True)

@@ -17,7 +17,7 @@ from ..errors import TransferError
 from ..operators import shape
 from ..operators.merge import dedupe_latest, merge, new_rows, require_unique_keys
 from ..operators.schema import conform, evolved_schema
-from .targets import stage
+from .targets import stage, staged_for_now
 
 HIGH_WATER = "high_water"
 SNAPSHOT_AT = "snapshot_at"
@@ -95,7 +95,8 @@ def load(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
         Mode.INCREMENTAL: incremental,
         Mode.BACKFILL: backfill,
     }[mode]
-    return run(source, target, spec)
+    with staged_for_now(target.spark):  # copies go with the load, done or failed
+        return run(source, target, spec)
 
 
 def _write(target, df: DataFrame, action: str, spec: LoadSpec, mode: Mode) -> LoadReport:

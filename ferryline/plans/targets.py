@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 from urllib.parse import unquote
 
@@ -511,6 +512,23 @@ def _kinds(df: DataFrame):
     return [f.dataType for f in df.schema.fields]
 
 
+_copies: ContextVar[list[str] | None] = ContextVar("copies", default=None)
+
+
+@contextmanager
+def staged_for_now(spark: SparkSession):
+    """Copies staged inside are removed at the end, whether it is reached or not.
+    Named copies (``at``) are the caller's and stay."""
+    copies: list[str] = []
+    token = _copies.set(copies)
+    try:
+        yield
+    finally:
+        _copies.reset(token)
+        for path in copies:
+            ClusterFiles(spark).remove(path)
+
+
 def stage(df: DataFrame, label: str, at: str | None = None) -> DataFrame:
     """Write once and read back: the source is extracted one time, the copy
     survives lost executors, and its size is known exactly to the join planner.
@@ -522,5 +540,8 @@ def stage(df: DataFrame, label: str, at: str | None = None) -> DataFrame:
         df.write.mode("overwrite").saveAsTable(at)
         return spark.table(at)
     path = at or scratch_path(spark, label)
+    copies = _copies.get()
+    if copies is not None and not at:
+        copies.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..config import TargetOptions
 from ..enums import plain
 from ..errors import UnsupportedError
-from ..fs import ClusterFiles
+from ..fs import ClusterFiles, aside
 from ..operators.shape import column, max_decimals
 
 # Compression names each text writer accepts.
@@ -59,9 +59,28 @@ def compression_of(path: str, option) -> str:
 
 def write_files(df: DataFrame, path: str, fmt: str, options: TargetOptions | None = None,
                 mode: str = "overwrite", partition_by=()) -> None:
+    """Write a dataset. Overwriting writes beside the old files and takes their
+    place when all is written: a failed write leaves them, and they may be read
+    for it."""
     options = options or TargetOptions()
     fmt = plain(fmt)
     codec = compression_of(path, options.compression)
+    files = ClusterFiles(df.sparkSession)
+    if mode != "overwrite" or not files.exists(path):
+        return _write_files(df, path, fmt, codec, options, mode, partition_by)
+    fresh = aside(path)
+    try:
+        _write_files(df, fresh, fmt, codec, options, mode, partition_by)
+        files.swap(fresh, path)
+    finally:
+        files.remove(fresh)
+    return None
+
+
+def _write_files(df: DataFrame, path: str, fmt: str, codec: str, options: TargetOptions,
+                 mode: str, partition_by) -> None:
+    if partition_by and (fmt == "arrow" or codec == "zip"):
+        raise UnsupportedError(f"{fmt} files are not partitioned by columns")
     df = shaped_for_write(df, options)
     if options.file_max_bytes:
         rows = rows_per_file(df, fmt, int(options.file_max_bytes))
@@ -78,7 +97,7 @@ def write_files(df: DataFrame, path: str, fmt: str, options: TargetOptions | Non
         write_zip_csv(df, path, options, mode)
         return None
     if fmt == "arrow":
-        write_arrow(df, path, mode)
+        write_arrow(df, path, mode, options)
         return None
     if partition_by and not options.concurrency:
         # One value's rows meet in as many tasks as their size calls for: few
@@ -106,8 +125,10 @@ def _writer(df: DataFrame, fmt: str, options: TargetOptions, codec: str, mode: s
         lines = df.select(F.to_json(F.struct(*[column(c) for c in df.columns]), {
             "ignoreNullFields": "false",
             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-        }).alias("value")).mapInArrow(_as_json_array, "value string")
-        writer = lines.write.format("text").option("maxRecordsPerFile", 0)
+        }).alias("value")).mapInArrow(_as_json_arrays(int(options.file_max_rows or 0)),
+                                      "value string")
+        most = int(options.file_max_rows or 0)
+        writer = lines.write.format("text").option("maxRecordsPerFile", most + 2 if most else 0)
     else:
         native = {"jsonlines": "json"}.get(fmt, fmt)
         source = df.select(*[_text_safe(f) for f in df.schema.fields]) if fmt == "csv" else df
@@ -147,19 +168,25 @@ def _text_safe(field: T.StructField):
     return column(field.name)
 
 
-def _as_json_array(batches):
-    """Turn a partition of JSON texts into the lines of one JSON array."""
-    held = None
-    for batch in batches:
-        rows = batch.column(0).to_pylist()
-        if not rows:
-            continue
-        lines = ["["] if held is None else [held + ","]
-        lines += [r + "," for r in rows[:-1]]
-        held = rows[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-    tail = ["[", "]"] if held is None else [held, "]"]
-    yield pa.RecordBatch.from_arrays([pa.array(tail, pa.string())], ["value"])
+def _as_json_arrays(most: int):
+    """Turn a partition of JSON texts into the lines of JSON arrays of ``most`` rows
+    (0: one array). A full array has ``most`` + 2 lines, which the text writer
+    makes a file."""
+    def run(batches):
+        held, count, begun = None, 0, False
+        for batch in batches:
+            lines = []
+            for row in batch.column(0).to_pylist():
+                if most and count == most:
+                    lines += [held, "]"]
+                    held, count = None, 0
+                lines.append("[" if held is None else held + ",")
+                held, count, begun = row, count + 1, True
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        tail = [held, "]"] if begun else ["[", "]"]
+        yield pa.RecordBatch.from_arrays([pa.array(tail, pa.string())], ["value"])
+    return run
 
 
 def rows_per_file(df: DataFrame, fmt: str, max_bytes: int, sample_rows: int = 10_000) -> int:
@@ -234,29 +261,45 @@ def _save_with_tasks(df: DataFrame, path: str, write_partition, mode: str) -> Da
     return df.sparkSession.createDataFrame(done, MANIFEST)
 
 
-def write_arrow(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
-    """One Arrow IPC file per partition; returns the (small) file manifest."""
+def _in_files(batches, most: int):
+    """The batches of a partition, grouped into files of ``most`` rows (0: one file)."""
+    held, count = [], 0
+    for batch in batches:
+        start = 0
+        while start < batch.num_rows:
+            part = batch.slice(start, most - count if most else batch.num_rows)
+            held.append(part)
+            start, count = start + part.num_rows, count + part.num_rows
+            if most and count == most:
+                yield held
+                held, count = [], 0
+    if held:
+        yield held
+
+
+def write_arrow(df: DataFrame, path: str, mode: str = "overwrite",
+                options: TargetOptions | None = None) -> DataFrame:
+    """Arrow IPC files, one per partition or ``file_max_rows`` rows; returns the
+    (small) file manifest."""
+    most = int(options.file_max_rows or 0) if options else 0
 
     def write_partition(folder, prefix):
         def run(batches):
             pid, attempt = task_ids()
-            total = 0
-
-            def produce(out):
-                nonlocal total
-                writer = None
-                for batch in batches:
-                    if writer is None:
-                        writer = pa.ipc.new_file(out, batch.schema)
-                    writer.write_batch(batch)
-                    total += batch.num_rows
-                if writer is None:
-                    writer = pa.ipc.new_file(out, empty)
-                writer.close()
-
-            name = commit_file(folder, f"{prefix}-{pid:05d}.arrow", attempt, produce)
-            yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]},
-                                             schema=manifest)
+            groups = _in_files(batches, most) if most else [batches]
+            for part, group in enumerate(groups):
+                total = 0
+
+                def produce(out, group=group):
+                    nonlocal total
+                    with pa.ipc.new_file(out, empty) as writer:
+                        for batch in group:
+                            writer.write_batch(batch.cast(empty))
+                            total += batch.num_rows
+
+                name = commit_file(folder, f"{prefix}-{pid:05d}-{part}.arrow", attempt, produce)
+                yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]},
+                                                 schema=manifest)
         return run
 
     empty = arrow_schema(df.schema)
@@ -283,22 +326,25 @@ def write_zip_csv(df: DataFrame, path: str, options: TargetOptions | None = None
     def write_partition(folder, prefix):
         def run(batches):
             pid, attempt = task_ids()
-            total = 0
-
-            def produce(out):
-                nonlocal total
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                    with archive.open(f"{prefix}-{pid:05d}.csv", "w") as member:
-                        text = io.TextIOWrapper(member, encoding="utf-8", newline="\n")
-                        if header is not None:
-                            text.write(header + "\n")
-                        for batch in batches:
-                            text.writelines(v + "\n" for v in batch.column(0).to_pylist())
-                            total += batch.num_rows
-                        text.flush()
-
-            name = commit_file(folder, f"{prefix}-{pid:05d}.csv.zip", attempt, produce)
-            yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]}, schema=manifest)
+            most = int(options.file_max_rows or 0)
+            for part, group in enumerate(_in_files(batches, most) if most else [batches]):
+                total = 0
+
+                def produce(out, group=group, part=part):
+                    nonlocal total
+                    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                        with archive.open(f"{prefix}-{pid:05d}-{part}.csv", "w") as member:
+                            text = io.TextIOWrapper(member, encoding="utf-8", newline="\n")
+                            if header is not None:
+                                text.write(header + "\n")
+                            for batch in group:
+                                text.writelines(v + "\n" for v in batch.column(0).to_pylist())
+                                total += batch.num_rows
+                            text.flush()
+
+                name = commit_file(folder, f"{prefix}-{pid:05d}-{part}.csv.zip", attempt, produce)
+                yield pa.RecordBatch.from_pydict({"file": [name], "rows": [total]},
+                                                 schema=manifest)
         return run
 
     return _save_with_tasks(df.select(line.alias("value")), path, write_partition, mode)
