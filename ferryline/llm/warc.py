@@ -360,7 +360,22 @@ class WarcStore:
                              self.id_type, with_payload)
 
 
-@query("op7_warc")
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits FROM pages),
+firsts AS (SELECT html, min(page_id) AS first FROM p GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+           [CAST(bits[5 * k + j] AS INTEGER) << (5 - j) FOR j IN range(1, 6)])::BIGINT, 1)
+         FOR k IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN firsts USING (html)
+"""
+
+
+@query("op7_warc", OP7_SQL)
 def op7(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return WarcStore.write(pages).look_up(pages, with_payload=False).drop("url", "payload")

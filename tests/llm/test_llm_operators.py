@@ -518,7 +518,7 @@ def duck(sf_dir):
     return check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", [f"op{n}_" for n in (1, 2, 5, 6)])
+@pytest.mark.parametrize("name", [f"op{n}_" for n in (1, 2, 5, 6, 7)])
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
     full = next(q for q in __spark_entry__.oracle_sql() if q.startswith(name))
     assert check.compare(spark, duck, full, sf_dir) == []
