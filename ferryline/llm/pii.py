@@ -48,7 +48,8 @@ COUNTED_TERMS = 400_000
 class DisclosureLimits:
     """``support``: different texts that must hold term and entity together;
     ``generalise`` and ``remove``: shares of an entity's information;
-    ``information``: bits an entity must carry to be protected from terms."""
+    ``information``: bits those texts must carry about the entity in sum, so that
+    a frequent entity takes more texts than a rare one."""
     support: int = 3
     generalise: float = 0.8
     remove: float = 0.95
@@ -174,54 +175,67 @@ def document_counts(docs: DataFrame, text: str) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("df")))
 
 
+def term_pairs(beside: DataFrame) -> DataFrame:
+    """``entity, term`` of each text, once per text, with its key and ``copies``."""
+    schema = T.StructType([*[beside.schema[c] for c in (*_KEY, "copies")],
+                           T.StructField("entity", T.StringType()),
+                           T.StructField("term", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], [], []]
+            for k1, k2, copies, body, base, own in zip(*[c.to_pylist() for c in batch.columns]):
+                spans = [(s["kind"], s["start"], s["end"]) for s in base]
+                terms = list({t for t, _, _ in terms_outside(body, spans)})
+                for e in own:
+                    for column, value in zip(out, (k1, k2, copies, e)):
+                        column += [value] * len(terms)
+                    out[4] += terms
+                    if len(out[4]) > 100_000:
+                        yield _pair_batch(out, schema)
+                        out = [[], [], [], [], []]
+            yield _pair_batch(out, schema)
+
+    return beside.select(*_KEY, "copies", "text", "base", "held").mapInArrow(run, schema)
+
+
+def _pair_batch(columns, schema: T.StructType) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], schema.names)
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, text: str,
                      limits: DisclosureLimits) -> tuple[DataFrame, DataFrame]:
     """Texts with shared entities (one row each), and ``entity, term, level`` of
     the terms that disclose an entity."""
-    n_docs = found.count()
+    size = found.groupBy(*_KEY).count().agg(F.sum("count").alias("rows"),
+                                            F.count(F.lit(1)).alias("texts")).first()
     texts = (found.where("entities is not null").groupBy(*_KEY).agg(
         F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"),
         F.first("base").alias("base"), F.first("entities").alias("entities")))
     texts = stage(texts, "llm-private-texts")
-    at_most = n_docs / 2 ** limits.information
+    # An entity in fewer texts cannot share `support` of them with a term.
     shared = (texts.select("copies", F.explode("entities").alias("entity"))
               .groupBy("entity").agg(F.sum("copies").alias("df_e"),
-                                     F.count(F.lit(1)).alias("texts"))
-              .where((F.col("texts") >= limits.support) & (F.col("df_e") <= at_most))
-              .select("entity", "df_e"))
+                                     F.count(F.lit(1)).alias("texts_e"))
+              .where(F.col("texts_e") >= limits.support))
     shared = stage(shared, "llm-shared-entities")
-    held = (texts.select(*_KEY, F.explode("entities").alias("entity"))
-            .join(shared.select("entity"), "entity")
+    held = (keyed_join(texts.select(*_KEY, F.explode("entities").alias("entity")),
+                       shared.select("entity"), ["entity"], "inner")
             .groupBy(*_KEY).agg(F.collect_set("entity").alias("held")))
     beside = stage(texts.drop("entities").join(held, _KEY), "llm-texts-beside-entities")
-
-    def pairs(batches):
-        for batch in batches:
-            out = []
-            for body, base, copies, own in zip(*[c.to_pylist() for c in batch.columns]):
-                spans = [(s["kind"], s["start"], s["end"]) for s in base]
-                terms = {t for t, _, _ in terms_outside(body, spans)}
-                out += [(e, t, copies) for e in own for t in terms]
-                if len(out) > 100_000:
-                    yield _pairs(out)
-                    out = []
-            yield _pairs(out)
-
-    def _pairs(out):
-        columns = zip(*out) if out else ([], [], [])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
-            ["entity", "term", "copies"])
-
-    together = (beside.select("text", "base", "copies", "held")
-                .mapInArrow(pairs, "entity string, term string, copies long")
-                .groupBy("entity", "term").agg(F.sum("copies").alias("n"),
-                                               F.count(F.lit(1)).alias("texts"))
-                .where(F.col("texts") >= limits.support).drop("texts"))
-    total = F.lit(float(max(n_docs, 1)))
+    together = (term_pairs(beside).groupBy("entity", "term")
+                .agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("texts"))
+                .where(F.col("texts") >= limits.support))
+    total = F.lit(float(max(size["rows"] or 0, 1)))
     information = F.log2(total / F.col("df_e"))
     share = F.log2(F.col("n") * total / (F.col("df_e") * F.col("df"))) / information
-    disclosing = (together.join(shared, "entity").join(document_counts(docs, text), "term")
+    evidence = F.col("texts") * F.log2(F.lit(float(size["texts"])) / F.col("texts_e"))
+    # An entity in every row has no information that a term could reveal.
+    scored = (keyed_join(together, shared.where(F.col("df_e") < total), ["entity"], "inner")
+              .where(evidence >= limits.information))
+    disclosing = (scored.join(document_counts(docs, text), "term")
                   .withColumn("share", share).where(F.col("share") >= limits.generalise)
                   .select("entity", "term", F.when(F.col("share") >= limits.remove, F.lit("remove"))
                           .otherwise(F.lit("generalise")).alias("level")))
@@ -234,17 +248,17 @@ def private_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     the base ones, then the terms to generalise, then those to remove).
 
     Null text is the empty text, without spans. Statistics count rows over the
-    whole table; support counts different texts, so copies alone prove nothing.
-    Equal texts get equal spans. Entities in more than one row of
-    2 ** ``information`` identify nobody and ask no terms. Other columns are not
-    read. An empty table gives an empty result.
+    whole table; support and ``information`` count different texts, so copies
+    alone prove nothing. Equal texts get equal spans. However many rows hold an
+    entity, its terms are scored; one in every row has nothing to reveal. Other
+    columns are not read. An empty table gives an empty result.
     """
     limits = limits or DisclosureLimits()
     found = find_base(docs, id_column, text)
     beside, disclosing = disclosing_terms(docs, found, text, limits)
-    # A text's list is at most its own terms: pairs need `support` texts in common.
-    marked = (beside.select(*_KEY, F.explode("held").alias("entity"))
-              .join(disclosing, "entity").groupBy(*_KEY, "term")
+    # Joined on the pairs that stand in a text, so its list is at most its own terms.
+    marked = (keyed_join(term_pairs(beside).drop("copies"), disclosing, ["entity", "term"],
+                         "inner").groupBy(*_KEY, "term")
               .agg(F.max("level").alias("level"))  # "remove" sorts after "generalise"
               .groupBy(*_KEY).agg(F.collect_list(F.struct("term", "level")).alias("terms")))
     schema = T.StructType([*[found.schema[k] for k in _KEY],

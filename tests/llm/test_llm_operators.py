@@ -6,7 +6,7 @@ import random
 import re
 import struct
 from collections import Counter, defaultdict
-from math import log10
+from math import log10, log2
 
 import numpy as np
 import public_tokenizers
@@ -510,6 +510,64 @@ def test_disclosing_terms(spark, docs, no_docs):
     assert clean[10] == rows[4][1]
 
 
+def brute_private(pairs, support=3, generalise=0.8, remove=0.95, information=6.0):
+    """Added spans by text, from every pair of an entity and a term."""
+    copies, df, e_rows, e_texts, both = Counter(t for _, t in pairs), Counter(), Counter(), \
+        Counter(), defaultdict(list)
+    terms, values = {}, {}
+    for t, n in copies.items():
+        base = [(a, b) for _, a, b in brute_spans(t)]
+        terms[t] = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W_]+", t)
+                    if not any(a < m.end() and m.start() < b for a, b in base)]
+        values[t] = {pii.entity(k, t[a:b]) for k, a, b in brute_spans(t)}
+        for w in {m.lower() for m in re.findall(r"[^\W_]+", t)}:
+            df[w] += n
+        for e in values[t]:
+            e_rows[e] += n
+            e_texts[e] += 1
+            for w in {w for w, _, _ in terms[t]}:
+                both[e, w].append(n)
+    rows, level = len(pairs), {}
+    for (e, w), found in both.items():
+        own = log2(rows / e_rows[e])
+        if len(found) >= support and own and len(found) * log2(
+                len(copies) / e_texts[e]) >= information:
+            share = log2(sum(found) * rows / (e_rows[e] * df[w])) / own
+            if share >= generalise:
+                level[e, w] = "remove" if share >= remove else "generalise"
+    out = {}
+    for t in copies:
+        mine = [({level.get((e, w)) for e in values[t]} - {None}, a, b) for w, a, b in terms[t]]
+        out[t] = sorted((max(levels), a, b) for levels, a, b in mine if levels)
+    return out
+
+
+def test_op10_marks_terms_at_its_own_limits(spark, scratch):
+    texts = [f"{prose(20, k)} clinic{'' if k % 9 else ' ward'} mail p{k}@hospital.example.org"
+             for k in range(12)]
+    texts += [f"{prose(20, 100 + k)} dial now +1 (555) 555-{1000 + k}" for k in range(9)]
+    # An address in a third of the rows; a number in three texts, one copied often.
+    texts += [f"{prose(20, 200 + k)} newsroom desk@press.example.net" for k in range(80)]
+    number = [f"{prose(20, 300 + k)} Zorblax waits at 10.20.30.40" for k in range(3)]
+    texts += number + number[:1] * 60 + [prose(40, 400 + k) for k in range(90)]
+    pairs = list(enumerate(texts))
+    path = f"{scratch}/documents.parquet"
+    spark.createDataFrame(pairs, "doc_id long, text string").repartition(3).write.parquet(path)
+    found = {r["doc_id"]: r["spans"] for r in
+             __spark_entry__.queries()["op10_pii"](spark, scratch).collect()}
+    added = brute_private(pairs)
+    for i, t in pairs:
+        want = [*brute_spans(t), *added[t]]
+        assert found[i] == ",".join(f"{k}:{a}:{b}" for k, a, b in want), t
+    words = {t[a:b].lower() for t, spans in added.items() for _, a, b in spans}
+    assert words >= {"newsroom", "zorblax"}
+    few = [(k, f"{prose(12, 600 + k)} Quorlin rang +44 20 7946 0958") for k in range(4)] + [
+        (10 + k, prose(30, 700 + k)) for k in range(40)]
+    frame = spark.createDataFrame(few, "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.private_spans(frame).collect()}
+    assert "Quorlin" in {few[0][1][s["start"]:s["end"]] for s in spans[0]}
+
+
 # -- queries and pipeline --------------------------------------------------------------
 
 
