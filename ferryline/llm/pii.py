@@ -1,11 +1,13 @@
 """Personal data, and the terms that give it away.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Each value
-found is a protected entity. Over the whole corpus, documents holding a term and
-an entity together, against documents holding either, give the share of the
-entity's information the term reveals: pointwise mutual information over the
-entity's own information. Terms over a threshold are marked where they stand
-beside the entity: generalised to their kind, or removed over a higher one.
+found is a protected entity, and so are what it generalises to (mail domain,
+network, issuer, number prefix) and its kind, as most values stand in one text
+alone and say nothing of the terms beside them. Over the whole corpus, documents
+holding a term and an entity together, against documents holding either, give the
+share of the entity's information the term reveals: pointwise mutual information
+over the entity's own information. Terms over a threshold are marked where they
+stand beside the entity: generalised to their kind, or removed over a higher one.
 """
 
 from __future__ import annotations
@@ -106,6 +108,19 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(_DIGITS.findall(value))}"
 
 
+def entities(kind: str, value: str) -> tuple[str, str, str]:
+    """The value as compared, what it generalises to, and its kind."""
+    own = entity(kind, value)
+    part = own[len(kind) + 1:]
+    if kind == "email":
+        wider = part.rsplit("@", 1)[1]
+    elif kind == "ip":
+        wider = ".".join(part.split(".")[:2])
+    else:
+        wider = part[:6] if kind == "card" else part[:-7]
+    return own, f"{kind}~{wider}", kind
+
+
 def terms_of(text: str) -> set[str]:
     return {t.lower() for t in set(_TERM.findall(text))}
 
@@ -142,7 +157,7 @@ def find_base(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(3).to_pylist()
             spans = [base_spans(t) for t in texts]
-            values = [sorted({entity(k, t[a:b]) for k, a, b in s}) if s else None
+            values = [sorted({e for k, a, b in s for e in entities(k, t[a:b])}) if s else None
                       for t, s in zip(texts, spans)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], _spans_column(spans), pa.array(values, pa.list_(pa.string())),
