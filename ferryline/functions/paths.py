@@ -82,19 +82,25 @@ def extract_variants(df: DataFrame, body: str, path: str, out: str = "record",
     return df.withColumn(out, record).drop(cursor).where(F.col(out).isNotNull())
 
 
-def typed_records(df: DataFrame, body: str, path: str, schema: T.StructType,
-                  out: str = "record", pos: str = "pos") -> DataFrame:
-    """The same extraction when the record type is known: the wrapping type is
-    built around it and one ``from_json`` parses straight into typed rows."""
-    steps = parse_path(path)
-    kind: T.DataType = schema
+_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
+
+
+def _wrapping(steps, kind: T.DataType) -> T.DataType:
+    """The type of a body that holds ``kind`` at the path."""
     for s in reversed(steps):
         if s is None or isinstance(s, int):
             kind = T.ArrayType(kind)
         else:
             kind = T.StructType([T.StructField(s, kind)])
-    options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"}
-    df = df.withColumn(out, F.from_json(F.col(body), kind, options))
+    return kind
+
+
+def typed_records(df: DataFrame, body: str, path: str, schema: T.StructType,
+                  out: str = "record", pos: str = "pos") -> DataFrame:
+    """The same extraction when the record type is known: the wrapping type is
+    built around it and one ``from_json`` parses straight into typed rows."""
+    steps = parse_path(path)
+    df = df.withColumn(out, F.from_json(F.col(body), _wrapping(steps, schema), _JSON))
     if steps.count(None) == 0:
         df = df.withColumn(pos, F.lit(0))
     for s in steps:
@@ -108,6 +114,23 @@ def typed_records(df: DataFrame, body: str, path: str, schema: T.StructType,
     return df.where(F.col(out).isNotNull())
 
 
+def record_count(body: Column, path: str, schema: T.StructType | None = None) -> Column:
+    """How many records ``typed_records`` finds at ``path`` in one body, with records
+    of any type where ``schema`` is not known. Unreadable bodies have none."""
+    steps = parse_path(path)
+
+    def count(value: Column, left: list) -> Column:
+        if not left:
+            return F.when(value.isNotNull(), 1).otherwise(0)
+        if left[0] is None:
+            return F.coalesce(F.aggregate(
+                value, F.lit(0), lambda n, item: n + count(item, left[1:])), F.lit(0))
+        return count(F.get(value, left[0]) if isinstance(left[0], int) else value[left[0]],
+                     left[1:])
+
+    return count(F.from_json(body, _wrapping(steps, schema or T.VariantType()), _JSON), steps)
+
+
 def variant_fields(df: DataFrame, record: str, schema: T.StructType, keep=()) -> DataFrame:
     """Columns of a VARIANT record, by name and type; unreadable values are null."""
     fields = [F.try_variant_get(F.col(record), f"$['{f.name}']",

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..config import as_list
 from ..enums import plain
 from ..errors import TransferError, UnsupportedError
-from ..functions.paths import extract_records, extract_variants, parse_path, typed_records
+from ..functions.paths import extract_records, extract_variants, record_count, typed_records
 from ..operators import shape
 from ..operators.joins import keyed_join
 from ..operators.merge import dedupe_latest, dedupe_records
@@ -100,17 +100,16 @@ def retry_responses(routed: DataFrame) -> DataFrame:
 STOP_SHORT = re.compile(r"^\s*length\(\s*response\.records\s*\)\s*<\s*(state\.limit|\d+)\s*$")
 
 
-def stop_at_short_page(responses: DataFrame, path: str, limit: int) -> DataFrame:
+def stop_at_short_page(responses: DataFrame, path: str, limit: int,
+                       schema: T.StructType | None = None) -> DataFrame:
     """Keep each endpoint's pages up to and with its first page of fewer than
-    ``limit`` records."""
-    steps = parse_path(path)
-    at = "$" + "".join(f".{s}" if isinstance(s, str) else f"[{s}]" for s in steps if s is not None)
-    count = F.coalesce(F.json_array_length(F.get_json_object(F.col("body"), at)), F.lit(0))
-    counted = responses.withColumn("__records", count)
+    ``limit`` records, counted by the path that extracts them."""
+    counted = responses.withColumn("__records", record_count(F.col("body"), path, schema))
     return cut_pages(counted, F.col("__records") < limit, inclusive=True).drop("__records")
 
 
-def paginate(responses: DataFrame, endpoint: Endpoint) -> DataFrame:
+def paginate(responses: DataFrame, endpoint: Endpoint,
+             schema: T.StructType | None = None) -> DataFrame:
     """Apply the stop condition the specification names."""
     pagination = endpoint.pagination
     condition = pagination.stop_condition if pagination else None
@@ -120,7 +119,8 @@ def paginate(responses: DataFrame, endpoint: Endpoint) -> DataFrame:
     records = endpoint.response.records if endpoint.response else None
     if found and records:
         limit = found[1] if found[1].isdigit() else (endpoint.state or {}).get("limit")
-        return stop_at_short_page(responses, records.jmespath or records.jq or "[]", int(limit))
+        return stop_at_short_page(responses, records.jmespath or records.jq or "[]", int(limit),
+                                  schema)
     scoped = responses.withColumn("response", F.struct("status", "body", "page"))
     return cut_pages(scoped, F.expr(condition), inclusive=True).drop("response")
 
@@ -168,19 +168,24 @@ def shape_records(df: DataFrame, records: Records) -> DataFrame:
 
     Where an ``update_key`` is set the latest row per key is kept, else repeated
     keys are removed exactly, which satisfies any duplicate tolerance. ``limit``
-    keeps the first records by page and position.
+    keeps the first of these records by page and position.
     """
-    if records.limit is not None:
-        df = df.orderBy("page", "pos").limit(int(records.limit))
+    limited = records.limit is not None
+    if limited:  # negative, so that of equal records the first one is the latest
+        df = df.withColumn("__at", F.struct((-F.col("page")).alias("page"),
+                                            (-F.col("pos")).alias("pos")))
     df = df.drop("pos", *KEYS)
     if records.casing:
         df = shape.column_casing(df, records.casing)
+    at = [df.columns[-1]] if limited else []
     if records.select:
-        df = shape.select_columns(df, records.select)
+        df = shape.select_columns(df, records.select, also=at)
     keys = as_list(records.primary_key)
     if keys:
         df = dedupe_latest(df, keys, records.update_key) if records.update_key else \
             dedupe_records(df, keys)
+    if limited:
+        df = df.orderBy(shape.column(at[0]).desc()).limit(int(records.limit)).drop(at[0])
     return df
 
 
@@ -284,7 +289,7 @@ def run_endpoint(responses: DataFrame, endpoint: Endpoint, schema: T.StructType)
     response = endpoint.response
     records = (response.records if response else None) or Records()
     live = kept_responses(apply_rules(responses, (response.rules if response else None) or []))
-    live = paginate(live, endpoint)
+    live = paginate(live, endpoint, schema)
     rows = body_records(live, response.format if response else None,
                         records.jmespath or records.jq, schema)
     state = F.struct(*[F.lit(v).alias(k) for k, v in (endpoint.state or {}).items()
