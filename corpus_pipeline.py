@@ -20,8 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line equals within one edit."""
-    return remove_repeated_lines(docs)
+    """Documents without the lines that an earlier line equals within one edit, or,
+    under 20 characters, exactly."""
+    return remove_repeated_lines(docs, short_lines=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .shared import digest_pair, query, stage, table, text_of
 
 MIN_CHARS = 20
+WORD = r"[^\x20\x09-\x0D]"
 
 _LINE = ["__k1", "__k2"]
 
@@ -32,11 +33,18 @@ def _row_key(id_column: str, text: str) -> dict[str, Column]:
             "row": F.xxhash64(F.col(id_column), F.col(text))}
 
 
-def document_lines(docs: DataFrame, id_column: str, text: str, min_chars: int) -> DataFrame:
-    """Lines long enough to be compared: ``ord`` (nul, doc, row, line), ``line``, ``n``."""
+def _compared(line: Column, min_chars: int, short_lines: bool) -> Column:
+    """Whether a line takes part: by its length, or with ``short_lines`` by a word."""
+    enough = F.length(line) >= min_chars
+    return enough | line.rlike(WORD) if short_lines else enough
+
+
+def document_lines(docs: DataFrame, id_column: str, text: str, min_chars: int,
+                   short_lines: bool = False) -> DataFrame:
+    """Lines that are compared: ``ord`` (nul, doc, row, line), ``line``, ``n``."""
     key = [c.alias(n) for n, c in _row_key(id_column, text).items()]
     return (docs.select(*key, F.posexplode(F.split(text_of(text), "\n")).alias("at", "line"))
-            .withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+            .withColumn("n", F.length("line")).where(_compared(F.col("line"), min_chars, short_lines))
             .select(F.struct("nul", "doc", "row", "at").alias("ord"), "line", "n"))
 
 
@@ -148,28 +156,33 @@ def earlier_neighbours(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def kept_places(docs: DataFrame, id_column: str, text: str, max_edits: int,
-                min_chars: int) -> DataFrame:
+                min_chars: int, short_lines: bool = False) -> DataFrame:
     """Per document (nul, doc, row) the numbers of the compared lines that stay."""
-    lines = document_lines(docs, id_column, text, min_chars)
+    lines = document_lines(docs, id_column, text, min_chars, short_lines)
     wanted = [_frame(F.col("line"), _core(F.lit(own)), F.lit(p), 2).alias(f"h{int(own)}{p}")
               for own in (True, False) for p in (0, 1)] if max_edits else []
-    hashed = lines.select(*digest_pair(F.col("line")), "ord", *wanted)
+    hashed = lines.select(*digest_pair(F.col("line")), "ord", "n", *wanted)
     distinct = stage(hashed.groupBy(*_LINE).agg(
         F.min("ord").alias("ord"), *[F.min(h).alias(h) for h in hashed.columns[3:]]),
         "llm-lines")
     kept = distinct
     if max_edits:
-        kept = distinct.join(earlier_neighbours(lines, distinct), _LINE, "left_anti")
+        # Short lines are held against equal ones alone.
+        long = F.col("n") >= min_chars
+        near = earlier_neighbours(lines.where(long), distinct.where(long))
+        kept = distinct.join(near, _LINE, "left_anti")
     return kept.select("ord.*").groupBy("nul", "doc", "row").agg(
         F.collect_set("at").alias("kept"))
 
 
 def dedupe_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                 max_edits: int = 1, min_chars: int = MIN_CHARS) -> DataFrame:
+                 max_edits: int = 1, min_chars: int = MIN_CHARS,
+                 short_lines: bool = False) -> DataFrame:
     """``row`` (the input row), ``__lines``, ``n_lines``, ``n_dropped`` and ``text_kept``.
 
-    A line is compared when it has ``min_chars`` characters; shorter and blank
-    lines always stay. Of equal lines the earliest stays (by id, nulls last,
+    A line is compared when it has ``min_chars`` characters; shorter lines always
+    stay, or with ``short_lines`` are compared for equality. Lines without a word
+    stay below ``min_chars``. Of equal lines the earliest stays (by id, nulls last,
     then line number), and of lines within ``max_edits`` (0 or 1) edits of an
     earlier line none does. Null or empty text gives the empty text with one
     blank line. Rows that repeat id and text count as one document and get the
@@ -178,14 +191,14 @@ def dedupe_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits must be 0 or 1")
-    kept = kept_places(docs, id_column, text, max_edits, min_chars)
+    kept = kept_places(docs, id_column, text, max_edits, min_chars, short_lines)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                        *[c.alias(f"__{n}") for n, c in _row_key(id_column, text).items()])
     places = kept.select(F.col("nul").alias("__nul"), F.col("row").alias("__row"), "kept")
     joined = rows.join(places, ["__nul", "__row"], "left").withColumn(
         "__lines", F.split(text_of(F.col("row")[text]), "\n"))
     compared = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1),
-                        lambda i: F.length(F.get("__lines", i)) >= min_chars)
+                        lambda i: _compared(F.get("__lines", i), min_chars, short_lines))
     dropped = F.array_except(compared, F.coalesce("kept", F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
     return (joined.withColumn("__dropped", dropped).select(
@@ -206,7 +219,7 @@ def remove_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str
     if length is not None and length in docs.columns:
         changed = changed.withField(
             length, F.length("text_kept").cast(docs.schema[length].dataType))
-    return (found.where(~lost | F.col("text_kept").rlike(r"[^\x20\x09-\x0D]"))
+    return (found.where(~lost | F.col("text_kept").rlike(WORD))
             .select(F.when(lost, changed).otherwise(row).alias("row")).select("row.*"))
 
 
