@@ -219,13 +219,30 @@ def train(texts: list[str], labels: list[int], options: ToxicityOptions) -> Toxi
 # -- on tables ---------------------------------------------------------------------
 
 
+def fitting(rows: list[tuple], room: int) -> list[tuple]:
+    """Of ``(id, label, hash, bytes)`` in hash order the first that fit in ``room``
+    bytes, less the bytes. The shortest text of each label goes first."""
+    shortest = {}
+    for k, r in enumerate(rows):
+        if r[1] not in shortest or r[3] < rows[shortest[r[1]]][3]:
+            shortest[r[1]] = k
+    kept = set(shortest.values())
+    room -= sum(rows[k][3] for k in kept)
+    for k, r in enumerate(rows):
+        if k not in kept and r[3] <= room:
+            kept.add(k)
+            room -= r[3]
+    return [rows[k][:3] for k in sorted(kept)]
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_column: str = "doc_id",
                  text: str = "text", label: str = "toxic",
                  options: ToxicityOptions | None = None) -> ToxicityModel:
     """Fit on a sample of the labelled rows for which ``learn`` (over ``labels``) holds.
 
     The sample is the first rows by a hash of their ids, bounded in rows and
-    bytes by ``options``; only it reaches the driver. Null labels and labels
+    bytes by ``options``; only it reaches the driver. A text that does not fit is
+    passed over, and the shortest of each label is always in. Null labels and labels
     without a document teach nothing; where ids repeat, the highest label and
     the smallest text count.
     """
@@ -246,12 +263,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_column: s
 
     sizes = sorted(sampled(chosen).agg(F.min(F.octet_length("__text")).alias("n")).collect(),
                    key=lambda r: r["__h"])
-    room, kept = options.sample_bytes, []
-    for r in sizes:
-        room -= r["n"]
-        if room < 0 and kept:
-            break
-        kept.append((r["__id"], r["__y"], r["__h"]))
+    kept = fitting([(r["__id"], r["__y"], r["__h"], r["n"]) for r in sizes], options.sample_bytes)
     rows = sorted(sampled(spark.createDataFrame(kept, known.schema))
                   .agg(F.min("__text").alias("t")).collect(), key=lambda r: r["__h"])
     texts, y = [r["t"] for r in rows], [r["__y"] for r in rows]
