@@ -152,8 +152,9 @@ def quality_rules(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
                   host: str = "source", limits: QualityLimits | None = None) -> DataFrame:
     """One row per input row: its id, measures, ``base_failed``, ``host_ok`` and ``kept``.
 
-    Null or empty text: no words, so ``base_failed``. Null host: judged by its
-    own rules only. Repeated rows each count and each get a row. Other columns
+    Null or empty text: no words, so ``base_failed``. Null host: kept by the
+    base rules alone, as in the SQL; symbol and duplicate-line rules only count in
+    the rates of a host. Repeated rows each count and each get a row. Other columns
     of ``docs`` are not read. An empty table gives an empty result. The longest
     text stays within its row; hosts of any size only meet as partial sums, and
     the verdict joins back on host and hash so that a hot host can be split.
