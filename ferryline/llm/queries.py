@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     jaccard,
     lines,
     pii,
+    prefix_trie,
     quality,
     token_cache,
     toxicity,
