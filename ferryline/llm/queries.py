@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     bpe,
+    collocations,
     decontaminate,
     hmm,
     jaccard,
