@@ -10,6 +10,7 @@ from . import (  # noqa: F401
     pii,
     prefix_trie,
     quality,
+    simhash,
     token_cache,
     toxicity,
     warc,
