@@ -4,8 +4,8 @@ Phrases are counted length by length. A task counts in a HAT-trie: below a
 shallow trie of word ids lie hash containers, which burst into a trie node once
 they hold too much. When the trie outgrows the task's budget, its largest
 subtrees leave it whole, each as a sorted run. Runs are written to the shared
-folder and merged by ranges of phrases, so a prefix that stands before very many
-words is merged by several tasks.
+folder and merged by whole prefixes, so that a word which stands before very many
+others is merged by many tasks.
 
 A phrase cannot be frequent if a part of it is not. Longer phrases are therefore
 only counted where all their words and pairs may be frequent, as a Bloom filter
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,8 +51,8 @@ class CollocationOptions:
     longest: int = 4
     filter_bits: int = 26       # of a Bloom filter, as a power of two: 8 MB
     burst: int = 4096           # entries of a container that bursts
-    entries: int = 1_000_000    # of all tries of a task, before subtrees leave
-    words: int = 400_000        # of a task's dictionaries, before they start anew
+    entries: int = 800_000    # of all tries of a task, before subtrees leave
+    words: int = 300_000        # of a task's dictionaries, before they start anew
     batch: int = 1 << 18        # words that are entered together
     segment: int = 1 << 20      # bytes of a text that are split at a time
 
@@ -70,6 +71,7 @@ class HatTrie:
 
     def __init__(self, burst: int, longest: int):
         self.root, self.burst, self.longest, self.size = Branch(), burst, longest, 0
+        self.sizes: dict[int, int] = {}
 
     def add(self, first: np.ndarray, keys: np.ndarray) -> None:
         if not len(first):
@@ -83,7 +85,9 @@ class HatTrie:
         starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]).tolist()
         counts = counts.tolist()
         for a, b in zip(starts, [*starts[1:], len(keys)]):
-            self._add(self.root, int(first[a]), keys[a:b], counts[a:b], 1)
+            before, word = self.size, int(first[a])
+            self._add(self.root, word, keys[a:b], counts[a:b], 1)
+            self.sizes[word] = self.sizes.get(word, 0) + self.size - before
 
     def _add(self, parent: Branch, word: int, keys: list[int], counts: list[int],
              depth: int) -> None:
@@ -115,24 +119,30 @@ class HatTrie:
             child[(key << ID_BITS) & ((1 << 3 * ID_BITS) - 1)] = n
         return branch
 
-    def _walk(self, node: dict, path: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
+    def _gather(self, node: dict, keys: list[int], counts: list[int]) -> None:
         if type(node) is Branch:
             for word, child in node.items():
-                yield from self._walk(child, path + (word,) if word else path)
+                below: list[int] = []
+                self._gather(child, below, counts)
+                keys.extend([word << _TOP | k >> ID_BITS for k in below])
         else:
-            for key, n in node.items():
-                ids = (key >> _TOP, key >> ID_BITS & _ID, key & _ID)
-                yield path + tuple(i for i in ids if i), n
-
-    def take(self, keep: int) -> Iterator[tuple[tuple[int, ...], int]]:
-        """Removes the largest subtrees until ``keep`` entries are left, and yields
-        what they counted."""
-        sizes = {w: sum(1 for _ in self._walk(n, ())) for w, n in self.root.items()}
-        for word in sorted(sizes, key=sizes.get, reverse=True):
+            keys.extend(node.keys())
+            counts.extend(node.values())
+
+    def take(self, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Removes the largest subtrees until ``keep`` entries are left: the first
+        ids, keys and counts they held."""
+        words, lengths, keys, counts = [], [], [], []
+        for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if self.size <= keep:
                 break
-            self.size -= sizes[word]
-            yield from self._walk(self.root.pop(word), (word,))
+            before = len(keys)
+            self._gather(self.root.pop(word), keys, counts)
+            words.append(word)
+            lengths.append(len(keys) - before)
+            self.size -= self.sizes.pop(word)
+        return (np.repeat(np.array(words, np.int64), np.array(lengths, np.int64)),
+                np.array(keys, np.int64), np.array(counts, np.int64))
 
 
 def lang_seed(lang: str) -> int:
@@ -278,13 +288,25 @@ class _LangCounter:
                 keys.append(key[whole])
         self.trie.add(np.concatenate(first), np.concatenate(keys))
 
-    def run(self, keep: int = 0) -> Iterator[tuple[str, int]]:
-        """Subtrees that leave, as one sorted run of phrases and counts."""
+    def run(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
+        """Subtrees that leave, as one run in the order of their words."""
+        first, keys, counts = self.trie.take(keep)
+        if not len(first):
+            return
         names = self.words.names
-        yield from sorted((b" ".join([names[i] for i in ids]).decode(errors="replace"), n)
-                          for ids, n in self.trie.take(keep))
+        rank = np.zeros(len(names), np.int64)
+        rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+        ids = [first, keys >> _TOP, keys >> ID_BITS & _ID, keys & _ID]
+        order = np.lexsort([rank[i] for i in reversed(ids)])
+        words = pa.array([None, *names[1:]], pa.binary())
+        for a in range(0, len(order), 100_000):
+            at = order[a:a + 100_000]
+            parts = [words.take(pa.array(i[at])) for i in ids]
+            phrases = pc.binary_join_element_wise(*parts, b" ", null_handling="skip")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([self.lang] * len(at)), phrases, pa.array(counts[at])], RUNS.names)
 
-    def start_anew(self) -> Iterator[tuple[str, int]]:
+    def start_anew(self) -> Iterator[pa.RecordBatch]:
         """Everything leaves, and the dictionary with it; the last three words stay."""
         self.enter()
         yield from self.run()
@@ -294,20 +316,12 @@ class _LangCounter:
         self.waiting = [np.array([self.words[w] if w else 0 for w in last], np.int64)]
 
 
-RUNS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()),
+RUNS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()),
                      T.StructField("f", T.LongType())])
 
 
 def _counted(lengths, words, pairs, options):
     """The tasks' work: texts to sorted runs."""
-    def rows(lang: str, run: Iterator[tuple[str, int]]) -> Iterator[pa.RecordBatch]:
-        found = list(run)
-        for a in range(0, len(found), 50_000):
-            phrases, counts = zip(*found[a:a + 50_000])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts)), pa.array(phrases), pa.array(counts, pa.int64())],
-                RUNS.names)
-
     def run(batches):
         by_lang: dict[str, _LangCounter] = {}
         for batch in batches:
@@ -320,13 +334,13 @@ def _counted(lengths, words, pairs, options):
                 for _ in own.text(raw.as_py()):
                     if sum(len(c.words) for c in by_lang.values()) > options.words:
                         largest = max(by_lang.values(), key=lambda c: len(c.words))
-                        yield from rows(largest.lang, largest.start_anew())
+                        yield from largest.start_anew()
                     if sum(c.trie.size for c in by_lang.values()) > options.entries:
                         largest = max(by_lang.values(), key=lambda c: c.trie.size)
-                        yield from rows(largest.lang, largest.run(largest.trie.size // 2))
+                        yield from largest.run(largest.trie.size // 2)
         for own in by_lang.values():
             own.enter()
-            yield from rows(own.lang, own.run())
+            yield from own.run()
 
     return run
 
@@ -340,8 +354,9 @@ def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], options: Collocati
     share = texts.sparkSession.sparkContext.broadcast
     runs = stage(texts.mapInArrow(_counted(
         lengths, words and share(words), pairs and share(pairs), options), RUNS), "llm-runs")
-    return (runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase")
-            .agg(F.sum("f").alias("f")))
+    # Equal phrases meet by their whole prefix: a shorter one may have any number below it.
+    return (runs.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+            .repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
 
 
 def frequent_phrases(docs: DataFrame, lang: str, text: str,
