@@ -33,18 +33,16 @@ def _row_key(id_column: str, text: str) -> dict[str, Column]:
             "row": F.xxhash64(F.col(id_column), F.col(text))}
 
 
-def _compared(line: Column, min_chars: int, short_lines: bool) -> Column:
-    """Whether a line takes part: by its length, or with ``short_lines`` by a word."""
-    enough = F.length(line) >= min_chars
-    return enough | line.rlike(WORD) if short_lines else enough
+def _compared(line: Column, min_chars: int) -> Column:
+    """Whether a line takes part: by its length or by a word."""
+    return (F.length(line) >= min_chars) | line.rlike(WORD)
 
 
-def document_lines(docs: DataFrame, id_column: str, text: str, min_chars: int,
-                   short_lines: bool = False) -> DataFrame:
+def document_lines(docs: DataFrame, id_column: str, text: str, min_chars: int) -> DataFrame:
     """Lines that are compared: ``ord`` (nul, doc, row, line), ``line``, ``n``."""
     key = [c.alias(n) for n, c in _row_key(id_column, text).items()]
     return (docs.select(*key, F.posexplode(F.split(text_of(text), "\n")).alias("at", "line"))
-            .withColumn("n", F.length("line")).where(_compared(F.col("line"), min_chars, short_lines))
+            .withColumn("n", F.length("line")).where(_compared(F.col("line"), min_chars))
             .select(F.struct("nul", "doc", "row", "at").alias("ord"), "line", "n"))
 
 
@@ -156,9 +154,9 @@ def earlier_neighbours(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def kept_places(docs: DataFrame, id_column: str, text: str, max_edits: int,
-                min_chars: int, short_lines: bool = False) -> DataFrame:
+                min_chars: int) -> DataFrame:
     """Per document (nul, doc, row) the numbers of the compared lines that stay."""
-    lines = document_lines(docs, id_column, text, min_chars, short_lines)
+    lines = document_lines(docs, id_column, text, min_chars)
     wanted = [_frame(F.col("line"), _core(F.lit(own)), F.lit(p), 2).alias(f"h{int(own)}{p}")
               for own in (True, False) for p in (0, 1)] if max_edits else []
     hashed = lines.select(*digest_pair(F.col("line")), "ord", "n", *wanted)
@@ -176,29 +174,28 @@ def kept_places(docs: DataFrame, id_column: str, text: str, max_edits: int,
 
 
 def dedupe_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-                 max_edits: int = 1, min_chars: int = MIN_CHARS,
-                 short_lines: bool = False) -> DataFrame:
+                 max_edits: int = 1, min_chars: int = MIN_CHARS) -> DataFrame:
     """``row`` (the input row), ``__lines``, ``n_lines``, ``n_dropped`` and ``text_kept``.
 
-    A line is compared when it has ``min_chars`` characters; shorter lines always
-    stay, or with ``short_lines`` are compared for equality. Lines without a word
-    stay below ``min_chars``. Of equal lines the earliest stays (by id, nulls last,
-    then line number), and of lines within ``max_edits`` (0 or 1) edits of an
-    earlier line none does. Null or empty text gives the empty text with one
+    Every line with a word is compared, and every line of ``min_chars`` characters;
+    shorter ones for equality alone, as one edit makes other words of them. Lines
+    without a word stay below ``min_chars``. Of equal lines the earliest stays (by id, nulls last,
+    then line number), and of longer lines within ``max_edits`` (0 or 1)
+    edits of an earlier one none does. Null or empty text gives the empty text with one
     blank line. Rows that repeat id and text count as one document and get the
     same result; rows that share an id alone are ordered by a hash. Other
     columns are carried in ``row``. An empty table gives an empty result.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits must be 0 or 1")
-    kept = kept_places(docs, id_column, text, max_edits, min_chars, short_lines)
+    kept = kept_places(docs, id_column, text, max_edits, min_chars)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                        *[c.alias(f"__{n}") for n, c in _row_key(id_column, text).items()])
     places = kept.select(F.col("nul").alias("__nul"), F.col("row").alias("__row"), "kept")
     joined = rows.join(places, ["__nul", "__row"], "left").withColumn(
         "__lines", F.split(text_of(F.col("row")[text]), "\n"))
     compared = F.filter(F.sequence(F.lit(0), F.size("__lines") - 1),
-                        lambda i: _compared(F.get("__lines", i), min_chars, short_lines))
+                        lambda i: _compared(F.get("__lines", i), min_chars))
     dropped = F.array_except(compared, F.coalesce("kept", F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
     return (joined.withColumn("__dropped", dropped).select(
@@ -223,6 +220,8 @@ def remove_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str
             .select(F.when(lost, changed).otherwise(row).alias("row")).select("row.*"))
 
 
+_COMPARED = f"length(line) >= {MIN_CHARS} OR regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]')"
+
 OP6_SQL = f"""
 WITH lines AS MATERIALIZED (
   SELECT doc_id, i, len(l) AS n_lines, l[i] AS line
@@ -230,18 +229,19 @@ WITH lines AS MATERIALIZED (
        unnest(range(1, len(l) + 1)) AS t(i)),
 firsts AS MATERIALIZED (
   SELECT line, length(line) AS n, min((doc_id, i)) AS ord
-  FROM lines WHERE length(line) >= {MIN_CHARS} GROUP BY line),
+  FROM lines WHERE {_COMPARED} GROUP BY line),
 sides AS MATERIALIZED (
   SELECT line, n, ord, core, side,
          CASE side WHEN 0 THEN left(line, core // 2) ELSE right(line, core - core // 2) END AS part
-  FROM firsts, unnest([n - 1, n]) AS t(core), unnest([0, 1]) AS u(side)),
+  FROM firsts, unnest([n - 1, n]) AS t(core), unnest([0, 1]) AS u(side)
+  WHERE n >= {MIN_CHARS}),
 near AS (
   SELECT DISTINCT a.line FROM sides a JOIN sides b USING (core, side, part)
   WHERE b.ord < a.ord AND abs(a.n - b.n) <= 1 AND levenshtein(a.line, b.line) <= 1),
 kept AS (SELECT ord FROM firsts WHERE line NOT IN (SELECT line FROM near)),
 judged AS (
   SELECT doc_id, i, n_lines, line,
-         length(line) >= {MIN_CHARS} AND (doc_id, i) NOT IN (SELECT ord FROM kept) AS dropped
+         ({_COMPARED}) AND (doc_id, i) NOT IN (SELECT ord FROM kept) AS dropped
   FROM lines)
 SELECT doc_id, CAST(max(n_lines) AS BIGINT) AS n_lines,
        CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,

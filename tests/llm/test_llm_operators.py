@@ -328,8 +328,12 @@ def one_edit(a, b):
 def brute_lines(pairs):
     order = sorted({(i is None, i or 0, t) for i, t in pairs})
     held = [(o[:2], k, line) for o in order for k, line in enumerate((o[2] or "").split("\n"))
-            if len(line) >= lines.MIN_CHARS]
-    return {(o, line, k): any(one_edit(line, x) for oo, kk, x in held if (oo, kk) < (o, k))
+            if len(line) >= lines.MIN_CHARS or WORD.search(line)]
+
+    def alike(a, b):
+        return a == b or (min(len(a), len(b)) >= lines.MIN_CHARS and one_edit(a, b))
+
+    return {(o, line, k): any(alike(line, x) for oo, kk, x in held if (oo, kk) < (o, k))
             for o, k, line in held}
 
 
@@ -338,7 +342,8 @@ def test_line_dedup(spark, no_docs):
     stem = "The quick brown fox jumps over the lazy dog"
     texts = [stem, stem[:-1], stem[1:], stem + "s", stem[:20] + "X" + stem[20:], stem.upper(),
              "aaaaaaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaaaaaa",
-             "aaaaaaaaaabaaaaaaaaaa", "short", "short", None, "", stem + "\n" + stem,
+             "aaaaaaaaaabaaaaaaaaaa", "short", "short", "shorts", " \n \t", " ", "}\n}", "}",
+             stem[:19], stem[:19], stem[:18], stem[:20], None, "", stem + "\n" + stem,
              "x" * 30_000, "x" * 15_000 + "y" + "x" * 14_999, LONG, LONG[:-1] + "#",
              "é" * 25, "é" * 24 + "e"]
     pick = random.Random(5)
@@ -423,7 +428,7 @@ def test_toxicity_finds_unseen_forms(spark, docs, no_docs):
               prose(600, 902), "")]
     assert score[0] > 0.7 > score[1] and score[0] > 3 * score[1] and 0 <= score[2] < 0.7
     found = toxicity.toxicity_scores(docs, model)
-    assert by_text(found.select("row.doc_id"), "doc_id") == Counter(i for i, _ in TEXTS)
+    assert by_text(found.select("row.doc_id"), "doc_id") == Counter((i,) for i, _ in TEXTS)
     assert toxicity.toxicity_scores(no_docs, model).collect() == []
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     empty = toxicity.fit_toxicity(docs, labels, F.lit(True), options=options)
@@ -437,6 +442,25 @@ def test_toxicity_on_held_out_labels(spark):
              .join(labels, "doc_id").collect())
     right = [r["predicted"] == r["toxic"] for r in found]
     assert len(right) > 1000 and sum(right) / len(right) > 0.94
+    toxic = [r["predicted"] for r in found if r["toxic"] == 1]
+    flagged = [r["toxic"] for r in found if r["predicted"] == 1]
+    # Rejecting nothing would be right for nearly 9 in 10: ask for both sides.
+    assert sum(toxic) / len(toxic) >= 0.87 and sum(flagged) / len(flagged) >= 0.9
+
+
+def test_length_does_not_make_a_text_toxic():
+    clean = [prose(40, 100 + k) for k in range(60)]
+    toxic = [t + " you stupid " + ("idiot" if k % 2 else "idiots") for k, t in enumerate(clean)]
+    options = toxicity.ToxicityOptions(buckets=1 << 14, steps=400)
+    model = toxicity.train(clean + toxic, [0] * 60 + [1] * 60, options)
+
+    def score(text):
+        return model.score(model.word_scores(toxicity.words_of(text)))
+
+    for n in (50, 600, 3_000, 20_000):
+        for seed in (1, 2, 3):
+            assert score(prose(n, 7_000 + n + seed)) < 0.5
+            assert score(prose(n, n + seed) + " you stupid idiotz " + prose(n, n - seed)) > 0.7
 
 
 # -- 9 -------------------------------------------------------------------------------

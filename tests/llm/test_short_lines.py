@@ -16,6 +16,6 @@ def test_pipeline_compares_short_lines(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3)
     found = corpus_pipeline.drop_lines(spark, docs, "")
     assert {r["doc_id"]: r["text"] for r in found.collect()} == KEPT
-    exact = lines.dedupe_lines(docs, max_edits=0, short_lines=True).collect()
+    exact = lines.dedupe_lines(docs, max_edits=0).collect()
     assert {r["row"]["doc_id"]: r["n_dropped"] for r in exact} == {
         1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 0, 7: 0, 8: 0, 9: 0}
