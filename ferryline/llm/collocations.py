@@ -7,10 +7,12 @@ subtrees leave it whole, each as a sorted run. Runs are written to the shared
 folder and merged by whole prefixes, so that a word which stands before very many
 others is merged by many tasks.
 
-A phrase cannot be frequent if a part of it is not. Longer phrases are therefore
-only counted where all their words and pairs may be frequent, as a Bloom filter
-of fixed size tells; what it lets through by chance is counted and then falls to
-the threshold.
+A phrase cannot be frequent if a part of it is not, and most phrases of a corpus
+are rare. Before phrases are counted, three passes add up hashes alone: of words,
+of pairs of words that may be frequent, and of longer phrases all whose pairs may
+be. What reaches the threshold is told to the next pass by a Bloom filter of fixed
+size. Hashes that meet and bits that are set by chance let a rare phrase through;
+it is then counted as it is, and falls to the threshold.
 """
 
 from __future__ import annotations
@@ -51,8 +53,9 @@ class CollocationOptions:
     longest: int = 4
     filter_bits: int = 26       # of a Bloom filter, as a power of two: 8 MB
     burst: int = 4096           # entries of a container that bursts
-    entries: int = 800_000    # of all tries of a task, before subtrees leave
-    words: int = 300_000        # of a task's dictionaries, before they start anew
+    entries: int = 500_000      # of all tries of a task, before subtrees leave
+    words: int = 250_000        # of a task's dictionaries, before they start anew
+    hashes: int = 1 << 19       # of phrases that a task adds up at a time
     batch: int = 1 << 18        # words that are entered together
     segment: int = 1 << 20      # bytes of a text that are split at a time
 
@@ -187,27 +190,22 @@ class Bloom:
 _BITS = T.StructType([T.StructField("at", T.LongType()), T.StructField("bits", T.LongType())])
 
 
-def bloom_filter(phrases: DataFrame, options: CollocationOptions) -> Bloom:
-    """A filter of ``lang, phrase`` (words or pairs), set by many tasks; 2 **
-    ``filter_bits`` bits reach the driver, however many phrases there are."""
+def bloom_filter(hashes: DataFrame, options: CollocationOptions) -> Bloom:
+    """A filter of the hashes ``h``, set by many tasks; 2 ** ``filter_bits`` bits
+    reach the driver, however many hashes there are."""
     size = 1 << options.filter_bits
 
     def run(batches):
         for batch in batches:
-            seeds = {c: lang_seed(c) for c in set(batch.column(0).to_pylist())}
-            split = [(seeds[c], p.encode().split(b" "))
-                     for c, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            h = [np.array([xxhash.xxh64_intdigest(p[k], s) for s, p in split if len(p) > k],
-                          np.uint64) for k in (0, 1)]
-            h = _pair_hashes(*h) if len(h[1]) else h[0]
-            words = np.concatenate(Bloom.places(h, np.uint64(size - 1)))
-            places, which = np.unique(words >> np.uint64(6), return_inverse=True)
+            h = batch.column(0).to_numpy().view(np.uint64)
+            bits_at = np.concatenate(Bloom.places(h, np.uint64(size - 1)))
+            places, which = np.unique(bits_at >> np.uint64(6), return_inverse=True)
             bits = np.zeros(len(places), np.uint64)
-            np.bitwise_or.at(bits, which, np.uint64(1) << (words & np.uint64(63)))
+            np.bitwise_or.at(bits, which, np.uint64(1) << (bits_at & np.uint64(63)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(places.astype(np.int64)), pa.array(bits.view(np.int64))], _BITS.names)
 
-    found = (phrases.select("lang", "phrase").mapInArrow(run, _BITS)
+    found = (hashes.select("h").mapInArrow(run, _BITS)
              .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow())
     bits = np.zeros(size // 64, np.int64)
     bits[found["at"].to_numpy()] = found["bits"].to_numpy()
@@ -233,14 +231,15 @@ class _Words(dict):
         return n
 
 
-class _LangCounter:
-    """One language's dictionary, trie and words not yet entered."""
+class _LangText:
+    """One language's dictionary and the words that wait to be gone through.
+    ``filters``: of words, of pairs, of longer phrases; None before they are known."""
 
-    def __init__(self, lang, lengths, words, pairs, options):
-        self.lang, self.lengths, self.options = lang, lengths, options
-        self.known, self.pairs = words, pairs
-        self.words, self.trie = _Words(lang, words), HatTrie(options.burst, max(lengths))
+    def __init__(self, lang: str, filters: list[Bloom | None], options: CollocationOptions):
+        self.lang, self.options, self.filters = lang, options, filters
+        self.words, self.total = _Words(lang, filters[0]), 0
         self.waiting, self.n_waiting = [], 0
+        self.start()
 
     def text(self, raw: bytes) -> Iterator[None]:
         """Takes in a text; pauses after each segment."""
@@ -249,8 +248,9 @@ class _LangCounter:
             b = len(raw) if len(raw) - a <= step else raw.rfind(b" ", a, a + step) + 1
             if b <= a:  # a word longer than the step
                 b = raw.find(b" ", a) + 1 or len(raw)
-            split = (raw[a:b].lower().translate(_TO_LINES)
-                     .replace(b"\n", b" \xff ").split())
+            lines = raw[a:b].lower().translate(_TO_LINES)
+            split = lines.replace(b"\n", b" \xff ").split()
+            self.total += len(split) - lines.count(b"\n")
             self._wait(np.fromiter(map(self.words.__getitem__, split), np.int64, len(split)))
             a = b
             yield
@@ -263,32 +263,112 @@ class _LangCounter:
             self.enter()
 
     def enter(self) -> None:
-        """Counts the phrases that start before the last three waiting words."""
+        """Goes through the phrases that start before the last three waiting words."""
         ids = np.concatenate(self.waiting) if self.waiting else np.zeros(0, np.int64)
         self.waiting, self.n_waiting = [ids[-3:]], len(ids[-3:])
-        if len(ids) <= 3:
-            return
-        part = [ids[k:len(ids) - 3 + k] for k in range(4)]
-        whole = part[0] > 0
-        pair_ok = None
-        if self.pairs is not None:
-            h = np.array(self.words.hashes, np.uint64)[ids]
-            pair_ok = (ids[:-1] > 0) & (ids[1:] > 0)
-            at = np.flatnonzero(pair_ok)
-            pair_ok[at] = self.pairs.has_all(_pair_hashes(h[at], h[at + 1]))
-        key, first, keys = np.zeros(len(whole), np.int64), [], []
-        for n in range(1, max(self.lengths) + 1):
-            if n > 1:
-                whole = whole & (part[n - 1] > 0)
-                if pair_ok is not None:
-                    whole = whole & pair_ok[n - 2:n - 2 + len(whole)]
-                key = key | part[n - 1] << (_TOP - (n - 2) * ID_BITS)
-            if n in self.lengths:
-                first.append(part[0][whole])
-                keys.append(key[whole])
+        if len(ids) > 3:
+            self.phrases(ids)
+
+    def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Length, starts and hashes of the phrases that the filters do not rule out."""
+        n = len(ids) - 3
+        h = np.array(self.words.hashes, np.uint64)[ids]
+        at = np.flatnonzero(ids[:n] > 0)
+        yield 1, at, h[at]
+        _, pairs, longer = self.filters
+        whole = (ids[:-1] > 0) & (ids[1:] > 0)
+        start = np.flatnonzero(whole)
+        hashes = _pair_hashes(h[start], h[start + 1])
+        if pairs is not None:
+            fits = pairs.has_all(hashes)
+            whole[start[~fits]] = False
+            start, hashes = start[fits], hashes[fits]
+        inside = start < n
+        start, hashes = start[inside], hashes[inside]
+        yield 2, start, hashes
+        for size in range(3, self.options.longest + 1) if pairs is not None else ():
+            fits = whole[start + size - 2]
+            start, hashes = start[fits], _pair_hashes(hashes[fits], h[start[fits] + size - 1])
+            if longer is not None:
+                fits = longer.has_all(hashes)
+                start, hashes = start[fits], hashes[fits]
+            yield size, start, hashes
+
+    def start_anew(self) -> Iterator[pa.RecordBatch]:
+        """Everything leaves, and the dictionary with it; the last three words stay."""
+        self.enter()
+        yield from self.leave(0)
+        names = self.words.names
+        last = [names[i] for ids in self.waiting for i in ids.tolist()]
+        self.words = _Words(self.lang, self.filters[0])
+        self.waiting = [np.array([self.words[w] if w else 0 for w in last], np.int64)]
+
+
+HASHES = T.StructType([T.StructField("h", T.LongType()), T.StructField("f", T.LongType())])
+
+
+class _Hashes(_LangText):
+    """Adds up the hashes of the phrases of one level: words, pairs or longer ones,
+    whichever the filters do not know yet."""
+
+    schema = HASHES
+
+    def start(self) -> None:
+        self.level = [f is not None for f in self.filters].index(False)
+        self.held, self.size = [], 0
+
+    def phrases(self, ids: np.ndarray) -> None:
+        for size, _, hashes in self.candidates(ids):
+            if min(size, 3) == self.level + 1:
+                self.held.append(hashes)
+                self.size += len(hashes)
+
+    @staticmethod
+    def full(size: int, options: CollocationOptions) -> bool:
+        return size > options.hashes
+
+    def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            h, n = np.unique(np.concatenate(self.held), return_counts=True)
+            self.held, self.size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)],
+                                             HASHES.names)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        yield from self.leave(0)
+
+
+RUNS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()),
+                     T.StructField("f", T.LongType())])
+
+
+class _Counts(_LangText):
+    """Counts the phrases that no filter rules out in a HAT-trie."""
+
+    schema = RUNS
+
+    def start(self) -> None:
+        self.trie = HatTrie(self.options.burst, self.options.longest)
+
+    @property
+    def size(self) -> int:
+        return self.trie.size
+
+    @staticmethod
+    def full(size: int, options: CollocationOptions) -> bool:
+        return size > options.entries
+
+    def phrases(self, ids: np.ndarray) -> None:
+        first, keys = [], []
+        for size, start, _ in self.candidates(ids):
+            key = np.zeros(len(start), np.int64)
+            for k in range(1, size):
+                key |= ids[start + k] << (_TOP - (k - 1) * ID_BITS)
+            first.append(ids[start])
+            keys.append(key)
         self.trie.add(np.concatenate(first), np.concatenate(keys))
 
-    def run(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
+    def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
         """Subtrees that leave, as one run in the order of their words."""
         first, keys, counts = self.trie.take(keep)
         if not len(first):
@@ -303,83 +383,72 @@ class _LangCounter:
             at = order[a:a + 100_000]
             parts = [words.take(pa.array(i[at])) for i in ids]
             phrases = pc.binary_join_element_wise(*parts, b" ", null_handling="skip")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([self.lang] * len(at)), phrases, pa.array(counts[at])], RUNS.names)
+            yield self._rows(phrases, counts[at])
 
-    def start_anew(self) -> Iterator[pa.RecordBatch]:
-        """Everything leaves, and the dictionary with it; the last three words stay."""
-        self.enter()
-        yield from self.run()
-        names = self.words.names
-        last = [names[i] for ids in self.waiting for i in ids.tolist()]
-        self.words = _Words(self.lang, self.known)
-        self.waiting = [np.array([self.words[w] if w else 0 for w in last], np.int64)]
+    def _rows(self, phrases: pa.Array, counts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.lang] * len(phrases)), phrases, pa.array(counts, pa.int64())],
+            RUNS.names)
 
+    def end(self) -> Iterator[pa.RecordBatch]:
+        yield from self.leave(0)
+        yield self._rows(pa.array([None], pa.binary()), [self.total])
 
-RUNS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()),
-                     T.StructField("f", T.LongType())])
 
+def _gone_through(texts: DataFrame, kind: type[_LangText], filters: list[Bloom | None],
+                  options: CollocationOptions) -> DataFrame:
+    """What ``kind`` emits over all of ``lang, text``."""
+    share = texts.sparkSession.sparkContext.broadcast
+    shared = [f and share(f) for f in filters]
 
-def _counted(lengths, words, pairs, options):
-    """The tasks' work: texts to sorted runs."""
     def run(batches):
-        by_lang: dict[str, _LangCounter] = {}
+        known = [f and f.value for f in shared]
+        by_lang: dict[str, _LangText] = {}
         for batch in batches:
             for lang, raw in zip(batch.column(0), batch.column(1)):
                 lang = lang.as_py()
-                own = by_lang.get(lang)
-                if own is None:
-                    own = by_lang[lang] = _LangCounter(
-                        lang, lengths, words and words.value, pairs and pairs.value, options)
-                for _ in own.text(raw.as_py()):
+                if lang not in by_lang:
+                    by_lang[lang] = kind(lang, known, options)
+                for _ in by_lang[lang].text(raw.as_py()):
                     if sum(len(c.words) for c in by_lang.values()) > options.words:
-                        largest = max(by_lang.values(), key=lambda c: len(c.words))
-                        yield from largest.start_anew()
-                    if sum(c.trie.size for c in by_lang.values()) > options.entries:
-                        largest = max(by_lang.values(), key=lambda c: c.trie.size)
-                        yield from largest.run(largest.trie.size // 2)
+                        yield from max(by_lang.values(), key=lambda c: len(c.words)).start_anew()
+                    if kind.full(sum(c.size for c in by_lang.values()), options):
+                        largest = max(by_lang.values(), key=lambda c: c.size)
+                        yield from largest.leave(largest.size // 2)
         for own in by_lang.values():
             own.enter()
-            yield from own.run()
+            yield from own.end()
 
-    return run
+    return texts.mapInArrow(run, kind.schema)
 
 
-def phrase_counts(texts: DataFrame, lengths: tuple[int, ...], options: CollocationOptions,
-                  words: Bloom | None = None, pairs: Bloom | None = None) -> DataFrame:
-    """``lang, phrase, f`` for all phrases of ``lengths`` (1 to 4 words) in ``lang,
-    text``, less those with a word or pair that the filters do not know."""
-    if not set(lengths) <= {1, 2, 3, 4}:
-        raise ValueError("phrases have 1 to 4 words")
-    share = texts.sparkSession.sparkContext.broadcast
-    runs = stage(texts.mapInArrow(_counted(
-        lengths, words and share(words), pairs and share(pairs), options), RUNS), "llm-runs")
-    # Equal phrases meet by their whole prefix: a shorter one may have any number below it.
-    return (runs.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
-            .repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
+def likely(texts: DataFrame, filters: list[Bloom | None], options: CollocationOptions) -> Bloom:
+    """The filter of the next level: hashes that stand in ``min_count`` places."""
+    found = _gone_through(texts, _Hashes, filters, options)
+    # Hashes of a task are distinct: adding up before the shuffle would find little.
+    return bloom_filter(found.repartition("h").groupBy("h").agg(F.sum("f").alias("f"))
+                        .where(F.col("f") >= options.min_count), options)
 
 
 def frequent_phrases(docs: DataFrame, lang: str, text: str,
                      options: CollocationOptions) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, f`` of all phrases in ``min_count`` places or more, and
     ``lang, n``: the number of words of each language."""
+    if options.longest not in (2, 3, 4):
+        raise ValueError("phrases have 2 to 4 words")
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                         text_of(text).cast("binary").alias("text"))
-    single = stage(phrase_counts(texts, (1,), options), "llm-words")
-    totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = F.col("f") >= options.min_count
-    found = [single.where(often)]
-    words = bloom_filter(found[0], options)
-    pairs = None
-    for lengths in ((2,), tuple(range(3, options.longest + 1))):
-        if lengths and lengths[0] <= options.longest:
-            counts = phrase_counts(texts, lengths, options, words, pairs)
-            found.append(stage(counts.where(often), "llm-phrases"))
-            pairs = bloom_filter(found[-1], options) if lengths == (2,) else None
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.unionByName(more)
-    return whole.withColumn("size", F.size(F.split("phrase", " "))), totals
+    filters: list[Bloom | None] = [None, None, None]
+    for level in range(min(options.longest, 3)):
+        filters[level] = likely(texts, filters, options)
+    runs = stage(_gone_through(texts, _Counts, filters, options), "llm-runs")
+    totals = runs.where("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    # Equal phrases meet by their whole prefix: a shorter one may have any number below it.
+    counted = (runs.where("phrase IS NOT NULL")
+               .select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+               .repartition("lang", "phrase").groupBy("lang", "phrase")
+               .agg(F.sum("f").alias("f")).where(F.col("f") >= options.min_count))
+    return counted.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 
 def _part(start, n) -> F.Column:
