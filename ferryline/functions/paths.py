@@ -55,17 +55,29 @@ def _segments(steps) -> list[list]:
     return parts
 
 
+def _no_place(lists: int) -> Column:
+    return F.array().cast("array<int>") if lists > 1 else F.lit(0)
+
+
+def _further(pos: str, index: Column, lists: int) -> Column:
+    """The place one list further in."""
+    return F.array_append(pos, index.cast("int")) if lists > 1 else index
+
+
 def extract_variants(df: DataFrame, body: str, path: str, out: str = "record",
                      pos: str | None = "pos") -> DataFrame:
     """One row per record at ``path``; the record is a VARIANT column.
 
-    Each ``[]`` is a lateral explode, so a large page streams its records.
+    Each ``[]`` is a lateral explode, so a large page streams its records. ``pos``
+    is the place in the list, or with several ``[]`` the array of the places in
+    each list from the outermost on, so it orders all records of a body and no
+    two have the same.
     """
     *lists, last = _segments(parse_path(path))
     cursor = "__cursor"
     df = df.withColumn(cursor, F.try_parse_json(F.col(body)))
-    if pos and lists:
-        df = df.withColumn(pos, F.lit(0))
+    if pos:
+        df = df.withColumn(pos, _no_place(len(lists)))
     for steps in lists:
         source = F.col(cursor) if not steps else F.try_variant_get(
             F.col(cursor), json_path(steps), "variant")
@@ -75,7 +87,7 @@ def extract_variants(df: DataFrame, body: str, path: str, out: str = "record",
             spark.tvf.variant_explode(F.col("__list").outer()).toDF("__pos", "__key", "__item"))
         picks = [F.col(c) for c in kept] + [F.col("__item").alias(cursor)]
         if pos:
-            picks.append(F.col("__pos").alias(pos))
+            picks.append(_further(pos, F.col("__pos"), len(lists)).alias(pos))
         df = found.select(*picks)
     record = F.col(cursor) if not last else F.try_variant_get(
         F.col(cursor), json_path(last), "variant")
@@ -100,13 +112,14 @@ def typed_records(df: DataFrame, body: str, path: str, schema: T.StructType,
     """The same extraction when the record type is known: the wrapping type is
     built around it and one ``from_json`` parses straight into typed rows."""
     steps = parse_path(path)
+    lists = steps.count(None)
     df = df.withColumn(out, F.from_json(F.col(body), _wrapping(steps, schema), _JSON))
-    if steps.count(None) == 0:
-        df = df.withColumn(pos, F.lit(0))
+    df = df.withColumn(pos, _no_place(lists))
     for s in steps:
         if s is None:
             kept = [F.col(c) for c in df.columns if c not in (out, pos)]
-            df = df.select(*kept, F.posexplode(F.col(out)).alias(pos, out))
+            df = df.select(*kept, pos, F.posexplode(F.col(out)).alias("__at", out)).select(
+                *kept, _further(pos, F.col("__at"), lists).alias(pos), out)
         elif isinstance(s, int):
             df = df.withColumn(out, F.get(F.col(out), s))
         else:
@@ -157,7 +170,3 @@ def extract_records(df: DataFrame, body: str, path: str, schema: T.StructType |
         return rows.select(*kept, *[F.col("record")[f.name].alias(f.name) for f in schema.fields])
     found = extract_variants(df, body, path, pos=None)
     return variant_fields(found, "record", record_schema(found, "record"), kept)
-
-
-def field(record: Column, name: str) -> Column:
-    return record[name]

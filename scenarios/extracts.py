@@ -324,4 +324,6 @@ def api_endpoint_extract(spark, sf_dir):
         processors=[Processor("upper(record.event_type)", "record.event_type"),
                     Processor("'large'", "record.size_class", if_condition="record.value > 50")]))})
     responses = landed(spark, sf_dir, stored=True, mixed=True)
+    responses = responses.withColumn("endpoint", F.lit("events")).unionByName(
+        responses.withColumn("endpoint", F.lit("another")))
     return extract.run_endpoint(responses, spec.effective("events"), EVENT)
