@@ -3,9 +3,9 @@
 Phrases are counted length by length. A task counts in a HAT-trie: below a
 shallow trie of word ids lie hash containers, which burst into a trie node once
 they hold too much. When the trie outgrows the task's budget, its largest
-subtrees leave it whole, each as a sorted run. Runs are written to the shared
-folder and merged by whole prefixes, so that a word which stands before very many
-others is merged by many tasks.
+subtrees leave it whole, as sorted runs. A run is cut by prefix (a hash of the
+first two words, so that a word which stands before very many others is merged by
+many tasks), and the runs of a prefix partition are merged into sums.
 
 A phrase cannot be frequent if a part of it is not, and most phrases of a corpus
 are rare. Before phrases are counted, three passes add up hashes alone: of words,
@@ -53,7 +53,8 @@ class CollocationOptions:
     longest: int = 4
     filter_bits: int = 26       # of a Bloom filter, as a power of two: 8 MB
     burst: int = 4096           # entries of a container that bursts
-    entries: int = 500_000      # of all tries of a task, before subtrees leave
+    prefixes: int = 12          # prefix partitions, as a power of two
+    entries: int = 800_000      # of all tries of a task, before subtrees leave
     words: int = 250_000        # of a task's dictionaries, before they start anew
     hashes: int = 1 << 19       # of phrases that a task adds up at a time
     batch: int = 1 << 18        # words that are entered together
@@ -338,8 +339,9 @@ class _Hashes(_LangText):
         yield from self.leave(0)
 
 
-RUNS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()),
-                     T.StructField("f", T.LongType())])
+RUNS = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("prefix", T.IntegerType()),
+    T.StructField("phrases", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType()))])
 
 
 class _Counts(_LangText):
@@ -369,30 +371,73 @@ class _Counts(_LangText):
         self.trie.add(np.concatenate(first), np.concatenate(keys))
 
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Subtrees that leave, as one run in the order of their words."""
+        """Subtrees that leave: a run per prefix, in the order of its words. No word
+        holds a line end, so line ends part the phrases of a run."""
         first, keys, counts = self.trie.take(keep)
         if not len(first):
             return
-        names = self.words.names
+        names, h = self.words.names, np.array(self.words.hashes, np.uint64)
         rank = np.zeros(len(names), np.int64)
         rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
         ids = [first, keys >> _TOP, keys >> ID_BITS & _ID, keys & _ID]
-        order = np.lexsort([rank[i] for i in reversed(ids)])
-        words = pa.array([None, *names[1:]], pa.binary())
-        for a in range(0, len(order), 100_000):
-            at = order[a:a + 100_000]
+        prefix = (_pair_hashes(h[ids[0]], h[ids[1]])
+                  >> np.uint64(64 - self.options.prefixes)).astype(np.int32)
+        order = np.lexsort([*[rank[i] for i in reversed(ids)], prefix])
+        words, prefix = pa.array([None, *names[1:]], pa.binary()), prefix[order]
+        starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+        bounds = np.append(starts, len(order))
+        for a in range(0, len(starts), 512):
+            own = bounds[a:a + 513]
+            at = order[own[0]:own[-1]]
             parts = [words.take(pa.array(i[at])) for i in ids]
             phrases = pc.binary_join_element_wise(*parts, b" ", null_handling="skip")
-            yield self._rows(phrases, counts[at])
+            offsets = pa.array(own - own[0], pa.int32())
+            yield self._rows(
+                prefix[own[:-1]],
+                pc.binary_join(pa.ListArray.from_arrays(offsets, phrases), b"\n"),
+                pa.ListArray.from_arrays(offsets, pa.array(counts[at], pa.int64())))
 
-    def _rows(self, phrases: pa.Array, counts) -> pa.RecordBatch:
+    def _rows(self, prefix, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([self.lang] * len(phrases)), phrases, pa.array(counts, pa.int64())],
+            [pa.array([self.lang] * len(phrases)), pa.array(prefix, pa.int32()), phrases, counts],
             RUNS.names)
 
     def end(self) -> Iterator[pa.RecordBatch]:
         yield from self.leave(0)
-        yield self._rows(pa.array([None], pa.binary()), [self.total])
+        yield self._rows([-1], pa.array([None], pa.binary()),
+                         pa.array([[self.total]], pa.list_(pa.int64())))
+
+
+FOUND = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.BinaryType()),
+                      T.StructField("f", T.LongType())])
+
+
+def _merged(min_count: int):
+    """The runs of each prefix partition, which come one after another, as sums;
+    a null phrase stands for the number of words."""
+    def rows(lang: str, sums: dict[bytes | None, int]) -> pa.RecordBatch:
+        kept = [(p, n) for p, n in sums.items() if n >= min_count or p is None]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(kept), pa.string()), pa.array([p for p, _ in kept], pa.binary()),
+             pa.array([n for _, n in kept], pa.int64())], FOUND.names)
+
+    def run(batches):
+        place, sums = None, {}
+        for batch in batches:
+            for lang, prefix, phrases, counts in zip(*[batch.column(c) for c in RUNS.names]):
+                here = (lang.as_py(), prefix.as_py())
+                if here != place:
+                    if place is not None:
+                        yield rows(place[0], sums)
+                    place, sums = here, {}
+                raw = phrases.as_py()
+                for phrase, n in zip([None] if raw is None else raw.split(b"\n"),
+                                     counts.values.to_pylist()):
+                    sums[phrase] = sums.get(phrase, 0) + n
+        if place is not None:
+            yield rows(place[0], sums)
+
+    return run
 
 
 def _gone_through(texts: DataFrame, kind: type[_LangText], filters: list[Bloom | None],
@@ -441,14 +486,13 @@ def frequent_phrases(docs: DataFrame, lang: str, text: str,
     filters: list[Bloom | None] = [None, None, None]
     for level in range(min(options.longest, 3)):
         filters[level] = likely(texts, filters, options)
-    runs = stage(_gone_through(texts, _Counts, filters, options), "llm-runs")
-    totals = runs.where("phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
-    # Equal phrases meet by their whole prefix: a shorter one may have any number below it.
-    counted = (runs.where("phrase IS NOT NULL")
-               .select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
-               .repartition("lang", "phrase").groupBy("lang", "phrase")
-               .agg(F.sum("f").alias("f")).where(F.col("f") >= options.min_count))
-    return counted.withColumn("size", F.size(F.split("phrase", " "))), totals
+    runs = _gone_through(texts, _Counts, filters, options)
+    found = stage(runs.repartition("prefix").sortWithinPartitions("prefix", "lang")
+                  .mapInArrow(_merged(options.min_count), FOUND), "llm-frequent")
+    phrases = found.where("phrase IS NOT NULL").select(
+        "lang", F.col("phrase").cast("string").alias("phrase"), "f")
+    return (phrases.withColumn("size", F.size(F.split("phrase", " "))),
+            found.where("phrase IS NULL").select("lang", F.col("f").alias("n")))
 
 
 def _part(start, n) -> F.Column:
@@ -466,7 +510,6 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text",
     """
     options = options or CollocationOptions()
     frequent, totals = frequent_phrases(docs, lang, text, options)
-    frequent = stage(frequent, "llm-frequent")
     phrases = frequent.where("size > 1").select(
         "lang", "phrase", "size", F.col("f").alias("a"), F.split("phrase", " ").alias("words"))
     counts = frequent.select("lang", "phrase", "f")
