@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import one_row
 from .expressions import spark_pattern
 
 _TOKEN = re.compile(
@@ -187,7 +188,7 @@ def rendered(spark: SparkSession, value, scope: dict[str, dict]):
     keeps the type of its expression; others become text."""
     if not isinstance(value, str) or "{" not in value:
         return value
-    one = spark.sql("SELECT 1 AS one").select(*scope_columns(scope))
+    one = one_row(spark).select(*scope_columns(scope))
 
     def evaluate(inner: str):
         return one.select(expression(one, inner).alias("v")).first()["v"]

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ferryline.fs import ClusterFiles
 from ferryline.operators.joins import keyed_join
 from ferryline.session import scratch_path
-from ferryline.sinks.files import _local_or_remote, commit_file, task_ids
+from ferryline.sinks.files import local_or_remote, commit_file, task_ids
 
 from .shared import query, stage, table, text_of
 
@@ -217,7 +217,7 @@ def _read_range(folder: str, name: str, offset: int, length: int, cache: dict) -
     if cache.get("name") != name:
         if "file" in cache:
             cache["file"].close()
-        filesystem, root = _local_or_remote(folder)
+        filesystem, root = local_or_remote(folder)
         cache.update(name=name, file=filesystem.open_input_file(f"{root}/{name}"))
     file = cache["file"]
     if length < 0:

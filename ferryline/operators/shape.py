@@ -132,13 +132,66 @@ def apply_transforms(df: DataFrame, transforms) -> DataFrame:
     return df
 
 
+#: Rows up to which a limited order is left to Spark's top-k, which one task ends.
+TOP_ROWS = 10_000
+
+
 def limit_offset(df: DataFrame, limit: int | None = None, offset: int | None = None,
                  order_by=None) -> DataFrame:
-    if order_by is not None:
-        df = df.orderBy(*as_list(order_by))
-    if offset:
-        df = df.offset(int(offset))
-    return df if limit is None else df.limit(int(limit))
+    """Rows ``offset`` to ``offset + limit`` in the order of ``order_by``: names, each
+    optionally followed by ``desc``. Without an order an offset follows the order of
+    all columns, so that pages neither overlap nor leave gaps, and a limit takes any
+    rows."""
+    offset = int(offset or 0)
+    if not offset and limit is None:
+        return df if order_by is None else df.orderBy(*_order(df, order_by))
+    if not offset and order_by is None:
+        return df.limit(int(limit))
+    order = _order(df, order_by)
+    if limit is not None and offset + int(limit) <= TOP_ROWS:
+        return df.orderBy(*order).offset(offset).limit(int(limit))
+    return ordered_slice(df, order, offset, limit)
+
+
+def _order(df: DataFrame, order_by) -> list[Column]:
+    """The named order, then all other columns that can be ordered, so that only
+    equal rows tie."""
+    order, named = [], set()
+    for part in as_list(order_by):
+        name, _, way = part.rpartition(" ") if part.lower().endswith((" asc", " desc")) \
+            else (part, "", "asc")
+        named.add(name.strip())
+        order.append(column(name.strip()).desc() if way.lower() == "desc" else column(name.strip()))
+    return order + [column(f.name) for f in df.schema.fields if f.name not in named
+                    and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
+
+def _place(counts, wanted: int) -> int | None:
+    """The number that row ``wanted`` of the order got; None beyond the last row."""
+    for row in counts:
+        if wanted < row["n"]:
+            return (row["r"] << 33) + wanted
+        wanted -= row["n"]
+    return None
+
+
+def ordered_slice(df: DataFrame, order: list[Column], offset: int, limit: int | None) -> DataFrame:
+    """A slice of an order, cut by many tasks. Rows are sorted by ranges and numbered
+    within them; the ranges' counts, one row each, say where the slice begins and
+    ends, and both are literals that the copy's row groups are skipped by."""
+    from ..plans.targets import stage
+
+    at = "__slice_at"
+    placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn(at, F.monotonically_increasing_id()), "ordered")
+    counts = placed.groupBy(F.shiftright(at, 33).alias("r")).agg(
+        F.count(F.lit(1)).alias("n")).orderBy("r").collect()
+    first = _place(counts, offset)
+    after = None if limit is None else _place(counts, offset + int(limit))
+    if first is None:
+        return placed.where(F.lit(False)).drop(at)
+    kept = placed.where(F.col(at) >= first)
+    return (kept if after is None else kept.where(F.col(at) < after)).drop(at)
 
 
 def exec_limit(df: DataFrame, limit: int | None) -> DataFrame:

@@ -26,6 +26,7 @@ from ..functions.language import expression, rendered, rendered_state
 from ..functions.paths import extract_variants, record_schema
 from ..operators import shape
 from ..operators.joins import keyed_join
+from ..session import one_row
 from . import extract
 from .apispec import ApiSpec, Endpoint, Iterate, Processor, Records, endpoint_stream
 from .targets import stage
@@ -46,9 +47,8 @@ class SyncStore:
         if not runs:
             return {}
         kept = json.loads(self.files.read_text(f"{self.path}/{endpoint}/{runs[-1]}"))
-        one = self.spark.sql("SELECT 1 AS one")
-        row = one.select(*[F.lit(v["value"]).cast(v["type"]).alias(n)
-                           for n, v in kept.items()]).first()
+        row = one_row(self.spark).select(*[F.lit(v["value"]).cast(v["type"]).alias(n)
+                                         for n, v in kept.items()]).first()
         return row.asDict()
 
     def publish(self, endpoint: str, values: dict[str, tuple[str, str]]) -> None:
@@ -252,7 +252,7 @@ class SpecRun:
             if name in endpoint.sync and name in run.state:
                 kind = rows.select(expression(rows, p.expression).alias("v")).schema["v"].dataType
                 value = run.state[name] if run.state[name] is not None else kept.get(name)
-                text = self.spark.sql("SELECT 1 AS one").select(
+                text = one_row(self.spark).select(
                     F.lit(value).cast(kind).cast("string")).first()[0]
                 found[name] = (text, kind.simpleString())
         self.sync.publish(endpoint.name, found)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
@@ -17,6 +18,7 @@ from ..errors import TransferError
 from ..operators import shape
 from ..operators.merge import dedupe_latest, merge, new_rows, require_unique_keys
 from ..operators.schema import conform, evolved_schema
+from ..session import one_row
 from .targets import stage, staged_for_now
 
 HIGH_WATER = "high_water"
@@ -120,6 +122,12 @@ def _write(target, df: DataFrame, action: str, spec: LoadSpec, mode: Mode) -> Lo
 
 
 def full_refresh(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
+    """Replace the target; with a ``chunk_size``, range by range of the update key or
+    of a primary key of one column."""
+    keys = as_list(spec.primary_key)
+    key = spec.update_key or (keys[0] if len(keys) == 1 else None)
+    if spec.chunk_size and key and target.counts_rows:
+        return chunked_load(source, target, key, spec.chunk_size)
     return _write(target, source, "replace", spec, Mode.FULL_REFRESH)
 
 
@@ -143,10 +151,10 @@ def truncate(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
 
 
 def snapshot(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
-    """Add the whole source, stamped with the run time. The stamp is kept with
-    the table state, so running the same snapshot again adds nothing."""
+    """Add the whole source, stamped with the run time. A stamp that the table already
+    holds, from the last run or an earlier one, adds nothing."""
     at = str(spec.loaded_at or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
-    if target.exists() and target.state().get(SNAPSHOT_AT) == at:
+    if target.exists() and (target.state().get(SNAPSHOT_AT) == at or _holds_stamp(target, at)):
         return LoadReport(Mode.SNAPSHOT.value, "skipped", 0, 0)
     rows = shape.with_loaded_at(source, at)
     if target.exists():
@@ -161,6 +169,16 @@ def snapshot(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
     return LoadReport(Mode.SNAPSHOT.value, rows_in=counted.rows, rows_out=counted.rows)
 
 
+def _holds_stamp(target, at: str) -> bool:
+    """Whether rows of an earlier snapshot have this stamp: a filter on one column,
+    which row groups of other stamps answer from their statistics."""
+    held = target.read()
+    if "_loaded_at" not in held.columns:
+        return False
+    stamp = F.lit(at).cast(held.schema["_loaded_at"].dataType)
+    return bool(held.select("_loaded_at").where(F.col("_loaded_at") == stamp).take(1))
+
+
 def high_water(target, update_key: str, kind) -> Any:
     """The target's largest ``update_key`` as a literal column: from the state
     published with the data, else from one single-column aggregate."""
@@ -177,8 +195,7 @@ def _higher(df: DataFrame, update_key: str, one: str | None, two: str | None) ->
         return one if two is None else two
     kind = df.schema[update_key].dataType
     highest = F.greatest(F.lit(one).cast(kind), F.lit(two).cast(kind))
-    row = df.sparkSession.range(1).select(mark_text(highest, kind).alias("h"))
-    return row.first()["h"]
+    return one_row(df.sparkSession).select(mark_text(highest, kind).alias("h")).first()["h"]
 
 
 def incremental(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
@@ -200,16 +217,20 @@ def incremental(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
         return _merge_load(rows, target, spec, keys, Mode.INCREMENTAL)
     if not target.exists():
         return _write(target, rows, "replace", spec, Mode.INCREMENTAL)
+    # Rows that no mark can place are not taken again; their number is told.
+    unplaced = source.where(shape.column(spec.update_key).isNull()).count()
+    left_out = {"without_update_key": unplaced} if unplaced else {}
     have = target.read().schema
     schema = evolved_schema(have, rows.schema, spec.add_new_columns)
     rows = conform(rows, schema, spec.add_new_columns)
     counted = _Counted(rows, spec.update_key)
     staged = stage(counted.df, "extract", spec.staging)
     if counted.rows == 0:
-        return LoadReport(Mode.INCREMENTAL.value, rows_in=0, rows_out=0)
+        return LoadReport(Mode.INCREMENTAL.value, rows_in=0, rows_out=0, detail=left_out)
     high = _higher(staged, spec.update_key, target.state().get(HIGH_WATER), counted.high)
     target.append(staged, {HIGH_WATER: high})
-    return LoadReport(Mode.INCREMENTAL.value, rows_in=counted.rows, rows_out=counted.rows)
+    return LoadReport(Mode.INCREMENTAL.value, rows_in=counted.rows, rows_out=counted.rows,
+                      detail=left_out)
 
 
 def backfill(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
@@ -222,18 +243,20 @@ def backfill(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
     if not spec.chunk_size:
         rows = shape.range_filter(source, spec.update_key, spec.range)
         return _merge_load(rows, target, spec, keys, Mode.BACKFILL)
-    total = LoadReport(Mode.BACKFILL.value, rows_in=0, rows_out=0, detail={"chunks": 0})
-    kind = source.schema[spec.update_key].dataType
+    # Every chunk is an extract of its own; all of them are merged at once.
+    kind, parts, rows_in = source.schema[spec.update_key].dataType, [], 0
     for lower, upper, last in chunk_bounds(source, spec):
         key = shape.column(spec.update_key)
         below = key <= F.lit(upper).cast(kind) if last else key < F.lit(upper).cast(kind)
         rows = shape.range_filter(source, spec.update_key, spec.range)
-        rows = rows.where((key >= F.lit(lower).cast(kind)) & below)
-        done = _merge_load(rows, target, spec, keys, Mode.BACKFILL)
-        total.rows_in += done.rows_in or 0
-        total.rows_out += done.rows_out or 0
-        total.detail["chunks"] += 1
-    return total
+        counted = _Counted(rows.where((key >= F.lit(lower).cast(kind)) & below))
+        parts.append(stage(counted.df, "extract", spec.staging))
+        rows_in += counted.rows
+    staged = reduce(DataFrame.union, parts)
+    top = staged.agg(mark_text(F.max(shape.column(spec.update_key)), kind).alias("h")).first()["h"]
+    report = _merge_load(staged, target, spec, keys, Mode.BACKFILL, (staged, rows_in, top))
+    report.detail["chunks"] = len(parts)
+    return report
 
 
 def chunked_load(source: DataFrame, target, key: str, chunk_size) -> LoadReport:
@@ -293,14 +316,15 @@ def chunk_bounds(source: DataFrame, spec: LoadSpec) -> list[tuple]:
     return [(marks[i], marks[i + 1], i == len(marks) - 2) for i in range(len(marks) - 1)]
 
 
-def _merge_load(rows: DataFrame, target, spec: LoadSpec, keys, mode: Mode) -> LoadReport:
+def _merge_load(rows: DataFrame, target, spec: LoadSpec, keys, mode: Mode,
+                extracted: tuple[DataFrame, int, str | None] | None = None) -> LoadReport:
     """Extract to a staged copy, then merge that copy into the target.
 
     The origin is read once. The copy's size is known to the join planner, and
     the row count and maximum come from the job that wrote it.
     """
     strategy = MergeStrategy(plain(spec.strategy) or MergeStrategy.UPDATE_INSERT.value)
-    staged, rows_in, top = _extract(rows, spec)
+    staged, rows_in, top = extracted or _extract(rows, spec)
     if not spec.update_key and strategy in (MergeStrategy.UPDATE_INSERT, MergeStrategy.UPDATE):
         require_unique_keys(staged, keys)
     report = LoadReport(mode.value, rows_in=rows_in, rows_out=0)

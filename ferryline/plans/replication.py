@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import copy
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -53,8 +56,10 @@ class Replication:
 
     def __init__(self, source=None, target=None, defaults=None, hooks=None, streams=None,
                  env: dict | None = None, debug: bool = False, file_path: str | None = None,
-                 spark: SparkSession | None = None):
+                 spark: SparkSession | None = None, concurrency: int | None = None):
         self._spark = spark
+        self.concurrency = concurrency
+        self._hooks = threading.Lock()
         if file_path:
             document = load_document(file_path, self.spark)
             source = source or document.get("source")
@@ -143,27 +148,59 @@ class Replication:
     # -- running -----------------------------------------------------------------
 
     def run(self, streams=None, mode=None, range: str | None = None, tags=None,
-            env: dict | None = None, raise_on_error: bool = True) -> DataFrame:
-        """Load every planned stream and return the run report as a DataFrame.
-        A failed stream does not stop the others; it is raised at the end."""
+            env: dict | None = None, raise_on_error: bool = True,
+            concurrency: int | None = None) -> DataFrame:
+        """Load every planned stream and return the run report as a DataFrame, in the
+        order of the plan. ``concurrency`` streams run at a time, each under a job
+        group of its name; streams with one target run one after another. A failed
+        stream does not stop the others; it is raised at the end."""
         env = {**self.env, **(env or {})}
         runner = StepRunner(self.spark, env)
-        rows, failures = [], []
         runner.run_all(self.hooks.start)
-        for name, config in self.planned(streams, tags).items():
+        plan = self.planned(streams, tags)
+        queues: dict[str, list[tuple[str, ReplicationStream]]] = {}
+        for name, config in plan.items():
             if mode is not None:
                 config.mode = mode
-            row = self._run_stream(name, config, range, env, runner)
-            rows.append(row)
-            if row[3] == "error":
-                failures.append(f"{name}: {row[6]}")
+            queues.setdefault(self._target_of(name, config), []).append((name, config))
+
+        def run_queue(queue) -> list[tuple]:
+            context = self.spark.sparkContext
+            done = []
+            for name, config in queue:
+                context.setJobGroup(name, f"stream {name}", interruptOnCancel=True)
+                done.append(self._run_stream(name, config, range, env, runner))
+            return done
+
+        workers = min(int(concurrency or self.concurrency or 1), max(1, len(queues)))
+        if workers > 1:
+            with ThreadPoolExecutor(workers) as pool:
+                tasks = [pool.submit(inheritable_thread_target(self.spark)(run_queue), q)
+                         for q in queues.values()]
+                found = [row for task in tasks for row in task.result()]
+        else:
+            found = [row for queue in queues.values() for row in run_queue(queue)]
+        place = {name: k for k, name in enumerate(plan)}
+        rows = sorted(found, key=lambda row: place[row[0]])
+        failures = [f"{row[0]}: {row[6]}" for row in rows if row[3] == "error"]
         runner.run_all(self.hooks.end)
         self.steps_report = runner.report()
         if failures and raise_on_error:
             raise TransferError("; ".join(failures))
         return self.spark.createDataFrame(rows, REPORT)
 
+    @staticmethod
+    def _target_of(name: str, config: ReplicationStream) -> str:
+        try:
+            return object_name(config.object or "{stream_table}", name)
+        except ValueError:
+            return name  # told when the stream runs
+
     def _run_stream(self, name, config, range_text, env, runner) -> tuple:
+        def hook(steps):
+            with self._hooks:  # steps of streams that run together take turns
+                runner.run_all(steps)
+
         hooks = config.hooks or HookMap()
         obj = None
         mode = plain(config.mode) or Mode.FULL_REFRESH.value
@@ -172,11 +209,11 @@ class Replication:
             config.object = obj
             transfer = transfer_for(name, config, self.source, self.target, env, self.spark)
             transfer.range = range_text
-            transfer.before_merge = lambda: runner.run_all(hooks.pre_merge)
-            transfer.after_merge = lambda: runner.run_all(hooks.post_merge)
-            runner.run_all(hooks.pre)
+            transfer.before_merge = lambda: hook(hooks.pre_merge)
+            transfer.after_merge = lambda: hook(hooks.post_merge)
+            hook(hooks.pre)
             report = transfer.run()
-            runner.run_all(hooks.post)
+            hook(hooks.post)
             return (name, obj, report.mode, report.status, report.rows_in, report.rows_out, None)
         except Exception as error:
             text = str(error).strip().splitlines()[0] if str(error) else type(error).__name__

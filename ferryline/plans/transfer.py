@@ -6,6 +6,7 @@ import datetime
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
@@ -61,7 +62,7 @@ class Transfer:
                  env=None, replication: str | None = None, pipeline: str | None = None,
                  config: str | None = None, debug: bool = False, trace: bool = False,
                  input: Any = None, files=None, strict_casts: bool = False,
-                 spark: SparkSession | None = None):
+                 order_by=None, on_malformed: str = "pad", spark: SparkSession | None = None):
         self.src_conn = src_conn.name if isinstance(src_conn, Connection) else src_conn
         self.src_stream = src_stream
         self.src_options = SourceOptions.from_dict(as_mapping(src_options))
@@ -88,6 +89,8 @@ class Transfer:
         self.input = input
         self.files = list(files or [])
         self.strict_casts = strict_casts
+        self.order_by = order_by
+        self.on_malformed = on_malformed
         self._spark = spark
         self.loaded_at: datetime.datetime | None = None
         self.before_merge = None
@@ -156,9 +159,15 @@ class Transfer:
 
     def _scan_files(self, paths: list[str]) -> DataFrame:
         fmt = plain(self.src_options.format) or format_of(paths[0], "parquet")
-        if fmt == "parquet" and len(paths) == 1 and ClusterFiles(self.spark).exists(
-                f"{paths[0]}/_commits"):
-            return VersionedDataset(self.spark, paths[0]).read()
+        if fmt == "parquet":
+            files = ClusterFiles(self.spark)
+            datasets = [p for p in paths if files.exists(f"{p}/_commits")]
+            if datasets:  # each path is a dataset or plain files; united by name
+                frames = [VersionedDataset(self.spark, p).read() for p in datasets]
+                rest = [p for p in paths if p not in datasets]
+                if rest:
+                    frames.append(read_files(self.spark, rest, {"format": "parquet"}))
+                return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         options = self.src_options.overlay(SourceOptions())
         options.limit = options.offset = options.transforms = None
         # Columns cast after the select need no inference. Times in a format of
@@ -169,7 +178,8 @@ class Transfer:
         return read_files(self.spark, paths, options,
                           stream_url=self._env_switch("STREAM_URL_COLUMN"),
                           columns={**(options.columns or {}), **timed},
-                          untyped=[c for c in own if c not in timed])
+                          untyped=[c for c in own if c not in timed],
+                          on_malformed=self.on_malformed)
 
     def dataframe(self, watch: Observation | None = None) -> DataFrame:
         """The shaped source: where, select, casts, transforms, metadata, limit.
@@ -205,7 +215,7 @@ class Transfer:
             df = shape.with_loaded_at(df, self._run_time())
         limit = self.limit if self.limit is not None else options.limit
         offset = self.offset if self.offset is not None else options.offset
-        return shape.limit_offset(df, limit, offset)
+        return shape.limit_offset(df, limit, offset, self.order_by)
 
     def _source_is_stored(self) -> bool:
         """Whether the source is one whole Parquet dataset or catalog table."""
@@ -300,9 +310,24 @@ class Transfer:
         report = load(self.shaped_for_target(self.dataframe(watch)), target, spec)
         if watched and report.status == "success" and report.rows_in is not None:
             report.detail["cast_nulls"] = watch.get["cast_nulls"]
+        if self.on_malformed == "skip" and report.status == "success":
+            report.detail["malformed"] = self._malformed()
         self._sql_around(options.post_sql)
         return report
 
+    def _malformed(self) -> int:
+        """Number of csv lines that were skipped."""
+        location = resolve(self.src_conn, self.env) if self.src_conn else None
+        paths = self.files or [self.src_stream or (location.url if location else "")]
+        paths = [local_form(join_path(location, p) if location else p) for p in paths]
+        if (plain(self.src_options.format) or format_of(paths[0], "parquet")) != "csv":
+            return 0
+        options = self.src_options.overlay(SourceOptions())
+        options.limit = options.offset = options.transforms = options.columns = None
+        kept, every = (read_files(self.spark, paths, options, infer=False, on_malformed=how).count()
+                       for how in ("skip", "pad"))
+        return every - kept
+
     # -- rows back to Python -----------------------------------------------------
 
     def _check_streamable(self) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .errors import TransferError
 
@@ -31,6 +31,11 @@ def build_session(app: str = "ferryline", cpus: int | str = "*", memory: str = "
     return builder.getOrCreate()
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """A row that Spark evaluates while it plans: literals are computed without a job."""
+    return spark.sql("VALUES (1)")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

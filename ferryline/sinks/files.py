@@ -83,6 +83,12 @@ def _write_files(df: DataFrame, path: str, fmt: str, codec: str, options: Target
         raise UnsupportedError(f"{fmt} files are not partitioned by columns")
     df = shaped_for_write(df, options)
     if options.file_max_bytes:
+        from .sized import can_be_sized, write_sized
+
+        if (can_be_sized(fmt, codec) and not partition_by and (codec != "zip" or fmt == "csv")
+                and opens_in_tasks(ClusterFiles(df.sparkSession).qualified(path))):
+            write_sized(df, path, fmt, codec, options, mode)
+            return None
         rows = rows_per_file(df, fmt, int(options.file_max_bytes))
         if options.file_max_rows:
             rows = min(rows, int(options.file_max_rows))
@@ -189,14 +195,19 @@ def _as_json_arrays(most: int):
     return run
 
 
-def rows_per_file(df: DataFrame, fmt: str, max_bytes: int, sample_rows: int = 10_000) -> int:
-    """Rows that fit ``max_bytes``, from the rendered size of a few rows. A size
-    hint only; every row is still written."""
-    rows = df.select(*[_text_safe(f) for f in df.schema.fields]).limit(sample_rows)
+def rows_per_file(df: DataFrame, fmt: str, max_bytes: int) -> int:
+    """Rows that fit ``max_bytes`` whichever they are: by the largest rendered row of
+    all. For formats whose own writers make the files; a smaller row wastes room."""
+    rows = df.select(*[_text_safe(f) for f in df.schema.fields])
     fields = F.struct(*[column(c) for c in rows.columns])
     text = F.to_csv(fields) if fmt in ("csv", "parquet", "arrow") else F.to_json(fields)
-    mean = rows.agg(F.avg(F.octet_length(text) + 1).alias("n")).first()["n"]
-    return max(1, math.floor(max_bytes / mean)) if mean else 1_000_000
+    largest = rows.agg(F.max(F.octet_length(text) + 1).alias("n")).first()["n"]
+    if not largest:
+        return 1_000_000
+    if fmt == "xml":  # every value stands between its name twice
+        largest += sum(2 * len(c) + 16 for c in df.columns)
+        max_bytes -= 256
+    return max(1, math.floor(max_bytes / largest))
 
 
 def _write_avro(df: DataFrame, path: str, mode: str) -> None:
@@ -218,7 +229,7 @@ MANIFEST = T.StructType([
 ])
 
 
-def _local_or_remote(path: str):
+def local_or_remote(path: str):
     """(filesystem, path) inside a task, for local and remote schemes alike."""
     from pyarrow import fs
 
@@ -230,10 +241,19 @@ def _local_or_remote(path: str):
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+def opens_in_tasks(path: str) -> bool:
+    """Whether a task can open the path by itself, without Spark's readers."""
+    try:
+        local_or_remote(path)
+    except Exception:
+        return False
+    return True
+
+
 def commit_file(folder: str, name: str, attempt: int, produce) -> str:
     """Write ``name`` through a per-attempt temporary file and rename it, so a
     retried or speculative task leaves one complete file."""
-    filesystem, root = _local_or_remote(folder)
+    filesystem, root = local_or_remote(folder)
     filesystem.create_dir(root, recursive=True)
     staged, final = f"{root}/_{name}.{attempt}", f"{root}/{name}"
     with filesystem.open_output_stream(staged, compression=None) as out:

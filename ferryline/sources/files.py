@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 from ..config import SourceOptions, as_mapping
 from ..enums import plain
 from ..errors import UnsupportedError
+from ..functions import delimited
 from ..functions.paths import extract_records
 from ..operators import shape
 from ..operators.infer import apply_inferred
 from ..sinks.files import compression_of, format_of
 from . import archives
+from .quoted import read_quoted
 
 
 def read_files(spark: SparkSession, paths, options: SourceOptions | dict | None = None,
@@ -99,13 +101,14 @@ def _scan(spark, paths, fmt, codec, options, on_malformed, schema, stream_url, m
     """(DataFrame, whether its columns are still raw text)."""
     reader = spark.read
     if codec == "zip" and fmt in ("csv", "json", "jsonlines", None):
-        return archives.read_zip(spark, paths, fmt or "csv", options), fmt == "csv"
+        return archives.read_zip(
+            spark, paths, fmt or "csv", options, stream_url), fmt == "csv"
     if fmt == "csv":
         return read_csv(spark, paths, options, on_malformed, schema, stream_url, multi_line), True
     if fmt == "xlsx":
-        return archives.read_xlsx(spark, paths, options), True
+        return archives.read_xlsx(spark, paths, options, stream_url), True
     if fmt == "arrow":
-        return archives.read_arrow(spark, paths, schema), False
+        return archives.read_arrow(spark, paths, schema, stream_url), False
     if fmt in ("json", "jsonlines"):
         df = _read_json(spark, paths, fmt, options, schema)
     elif fmt == "xml":
@@ -152,7 +155,7 @@ def csv_layouts(spark: SparkSession, paths) -> list[tuple[str, bool, list[str]]]
     """(header line, line breaks in quotes, files) of every kind of file.
 
     A quoted value with a line break leaves a physical line with an odd number of
-    quotes. Such files are read whole, one per task; the others stay splittable.
+    quotes. Such files are read by :mod:`.quoted`, all others as Spark splits them.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     kinds: dict[tuple[str, bool], list[str]] = {}
@@ -170,23 +173,36 @@ def read_csv(spark: SparkSession, paths, options: SourceOptions, on_malformed: s
     header = options.header is not False
     by_name = header and schema is None and not options.fields_per_rec
     if multi_line is None:
-        layouts = csv_layouts(spark, paths)
-        parts = [(files, broken) for _, broken, files in layouts]
+        # Files whose quotes hold line breaks are told apart by their own header.
+        parts = [(files, broken, head) for head, broken, files in csv_layouts(spark, paths)]
         if not by_name:
-            parts = [([f for files, b in parts if b == broken for f in files], broken)
-                     for broken in sorted({b for _, b in parts})]
+            plain_files = [f for files, broken, _ in parts if not broken for f in files]
+            parts = [p for p in parts if p[1]]
+            if plain_files:
+                parts.insert(0, (plain_files, False, None))
         if len(parts) < 2:  # one kind of file: the paths as they were given
-            parts = [(paths, parts[0][1] if parts else False)]
+            parts = [(paths, *parts[0][1:])] if parts else [(paths, False, None)]
     else:
-        parts = [(paths, multi_line)]
-    frames = [_read_csv_files(spark, files, options, on_malformed, schema, stream_url, whole)
-              for files, whole in parts]
+        parts = [(paths, multi_line, None)]
+    frames = [_read_csv_files(spark, files, options, on_malformed, schema, stream_url, whole, head)
+              for files, whole, head in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True) if by_name
                   else a.union(b), frames)
 
 
-def _read_csv_files(spark, paths, options, on_malformed, schema, stream_url, multi_line):
+def _read_csv_files(spark, paths, options, on_malformed, schema, stream_url, multi_line,
+                    head=None):
     header = options.header is not False
+    if multi_line and head is not None:
+        line = spark.createDataFrame([(head,)], "value string")
+        names = line.select(delimited.fields(F.get(delimited.records(F.col("value")), F.lit(0)),
+                                             options.delimiter or ",").alias("f")).first()["f"]
+        names = [n if header and n else f"_c{i}" for i, n in enumerate(names)]
+        width = options.fields_per_rec or len(names)
+        names = [names[i] if i < len(names) else f"_c{i}" for i in range(width)]
+        if len({n.lower() for n in names}) == len(names):
+            return read_quoted(spark, paths, options, names, head if header else None,
+                               on_malformed, schema, stream_url)
     mode = {"pad": "PERMISSIVE", "skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_malformed]
 
     def reader():

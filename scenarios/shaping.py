@@ -84,23 +84,30 @@ def filter_where(spark, sf_dir):
 
 @scenario("limit_rows", "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
 def limit_rows(spark, sf_dir):
-    ordered = read(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return shape.limit_offset(ordered, 50)
+    return shaped(spark, sf_dir, "orders", limit=50, order_by="o_totalprice desc, o_orderkey")
 
 
 @scenario("limit_offset", """
 SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30 OFFSET 20""")
 def limit_offset(spark, sf_dir):
-    ordered = read(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return shape.limit_offset(ordered, 30, 20)
+    return shaped(spark, sf_dir, "orders", limit=30, offset=20,
+                  order_by=["o_totalprice desc", "o_orderkey"])
+
+
+@scenario("limit_offset_deep", """
+SELECT * FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber
+LIMIT 12000 OFFSET 20000""")
+def limit_offset_deep(spark, sf_dir):
+    """A slice beyond what one task should order: cut by ranges."""
+    return shaped(spark, sf_dir, "lineitem", limit=12_000, offset=20_000,
+                  order_by="l_extendedprice desc, l_orderkey, l_linenumber")
 
 
 @scenario("opt_limit_offset", """
 SELECT c_custkey, c_acctbal FROM customer ORDER BY c_custkey LIMIT 25 OFFSET 100""")
 def opt_limit_offset(spark, sf_dir):
-    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    options = SourceOptions(limit=25, offset=100)
-    return shape.limit_offset(customers, options.limit, options.offset, order_by="c_custkey")
+    return shaped(spark, sf_dir, "customer", select="c_custkey, c_acctbal",
+                  src_options=SourceOptions(limit=25, offset=100), order_by="c_custkey")
 
 
 def query_view(spark, sf_dir, table):

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ferryline import (
     CatalogTable, LoadSpec, Replication, Source, TargetOptions, Transfer, VersionedDataset, load)
 from ferryline.fs import ClusterFiles
-from ferryline.plans.modes import chunked_load
 from ferryline.session import scratch_path
 from ferryline.sinks.files import commit_file, task_ids, write_files
 from ferryline.sources.files import read_files
@@ -238,9 +237,13 @@ def chunked_extract(spark, sf_dir):
     """Extract in ranges of the key, one commit per chunk."""
     orders = read(spark, sf_dir, "orders")
     span = orders.agg(F.max("o_orderkey") - F.min("o_orderkey") + 1).first()[0]
-    target = VersionedDataset(spark, scratch_path(spark, "chunks"))
-    chunked_load(orders, target, "o_orderkey", -(-span // 4))
-    return target.read()
+    target = scratch_path(spark, "chunks")
+    VersionedDataset(spark, target).replace(orders.limit(0))
+    done = Transfer(src_stream=path(sf_dir, "orders"), tgt_object=target, spark=spark,
+                    primary_key="o_orderkey",
+                    src_options={"chunk_size": -(-span // 4)}).run()
+    assert done.detail["chunks"] > 4
+    return VersionedDataset(spark, target).read()
 
 
 @scenario("empty_input", """
