@@ -52,6 +52,7 @@ class CollocationOptions:
     inside_percent: int = 80
     longest: int = 4
     filter_bits: int = 26       # of a Bloom filter, as a power of two: 8 MB
+    hash_prefixes: int = 14     # partitions of hashes, as a power of two
     burst: int = 4096           # entries of a container that bursts
     prefixes: int = 12          # prefix partitions, as a power of two
     entries: int = 800_000      # of all tries of a task, before subtrees leave
@@ -161,29 +162,37 @@ def _pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_ODD, _WORD = 0xD6E8FEB86659FD93, (1 << 64) - 1
+
+
 class Bloom:
-    """Bits of fixed number; three places per hash."""
+    """Bits of fixed number; three places per hash, of which the upper bits count
+    that are left after dropping ``drop``."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
+    def __init__(self, bits: np.ndarray, drop: int):
+        self.bits, self.drop, self.mask = bits, drop, np.uint64(len(bits) * 8 - 1)
         self._plain, self._mask = bits.tobytes(), len(bits) * 8 - 1
 
     @staticmethod
-    def places(h: np.ndarray, mask: np.uint64) -> list[np.ndarray]:
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        return [(h + np.uint64(i) * step) & mask for i in range(3)]
+    def places(short: np.ndarray, mask: np.uint64) -> list[np.ndarray]:
+        x = (short + np.uint64(1)) * np.uint64(_ODD)
+        x ^= x >> np.uint64(32)
+        step = (x >> np.uint64(40)) | np.uint64(1)
+        return [(x + np.uint64(i) * step) & mask for i in range(3)]
 
     def has(self, h: int) -> bool:
-        step = h >> 32 | 1
+        x = ((h >> self.drop) + 1) * _ODD & _WORD
+        x ^= x >> 32
+        step = x >> 40 | 1
         for i in range(3):
-            p = h + i * step & self._mask
+            p = x + i * step & self._mask
             if not self._plain[p >> 3] >> (p & 7) & 1:
                 return False
         return True
 
     def has_all(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), bool)
-        for p in self.places(h, self.mask):
+        for p in self.places(h >> np.uint64(self.drop), self.mask):
             found &= (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1) > 0
         return found
 
@@ -192,8 +201,8 @@ _BITS = T.StructType([T.StructField("at", T.LongType()), T.StructField("bits", T
 
 
 def bloom_filter(hashes: DataFrame, options: CollocationOptions) -> Bloom:
-    """A filter of the hashes ``h``, set by many tasks; 2 ** ``filter_bits`` bits
-    reach the driver, however many hashes there are."""
+    """A filter of the shortened hashes ``h``, set by many tasks; 2 ** ``filter_bits``
+    bits reach the driver, however many hashes there are."""
     size = 1 << options.filter_bits
 
     def run(batches):
@@ -210,7 +219,7 @@ def bloom_filter(hashes: DataFrame, options: CollocationOptions) -> Bloom:
              .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow())
     bits = np.zeros(size // 64, np.int64)
     bits[found["at"].to_numpy()] = found["bits"].to_numpy()
-    return Bloom(bits.view(np.uint8))
+    return Bloom(bits.view(np.uint8), 32 - options.hash_prefixes)
 
 
 class _Words(dict):
@@ -305,12 +314,22 @@ class _LangText:
         self.waiting = [np.array([self.words[w] if w else 0 for w in last], np.int64)]
 
 
-HASHES = T.StructType([T.StructField("h", T.LongType()), T.StructField("f", T.LongType())])
+HASHES = T.StructType([
+    T.StructField("prefix", T.IntegerType()), T.StructField("low", T.BinaryType()),
+    T.StructField("counts", T.BinaryType())])
+
+
+def _packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each two bounds, as one binary value each."""
+    offsets = pa.array((bounds * values.itemsize).astype(np.int32)).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1,
+                                 [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
 
 
 class _Hashes(_LangText):
     """Adds up the hashes of the phrases of one level: words, pairs or longer ones,
-    whichever the filters do not know yet."""
+    whichever the filters do not know yet. Of a hash the upper bits are kept: a
+    prefix, which names its partition, and 32 more."""
 
     schema = HASHES
 
@@ -329,16 +348,67 @@ class _Hashes(_LangText):
         return size > options.hashes
 
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            h, n = np.unique(np.concatenate(self.held), return_counts=True)
-            self.held, self.size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)],
-                                             HASHES.names)
+        if not self.size:
+            return
+        drop = np.uint64(32 - self.options.hash_prefixes)
+        short, n = np.unique(np.concatenate(self.held) >> drop, return_counts=True)
+        self.held, self.size = [], 0
+        prefix = (short >> np.uint64(32)).astype(np.int32)
+        starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+        bounds = np.append(starts, len(prefix))
+        counts = np.minimum(n, self.options.min_count).astype(_count_type(self.options))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(prefix[starts]), _packed(short.astype(np.uint32), bounds),
+             _packed(counts, bounds)], HASHES.names)
 
     def end(self) -> Iterator[pa.RecordBatch]:
         yield from self.leave(0)
 
 
+def _count_type(options: CollocationOptions):
+    return np.uint8 if options.min_count < 256 else np.uint32
+
+
+#: Hashes of one prefix that are held before equal ones are added up.
+_HELD = 1 << 21
+
+
+def _often(options: CollocationOptions):
+    """The shortened hashes that reach ``min_count``; those of a prefix come one
+    after another."""
+    kind = _count_type(options)
+
+    def added(low: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+        values, at = np.unique(np.concatenate(low), return_inverse=True)
+        sums = np.bincount(at, np.concatenate(counts), len(values))
+        return values, np.minimum(sums, options.min_count)
+
+    def run(batches):
+        place, low, counts, held = None, [], [], 0
+
+        def done():
+            values, sums = added(low, counts)
+            often = values[sums >= options.min_count].astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(often | place << 32, pa.int64())], ["h"])
+
+        for batch in batches:
+            for prefix, more, n in zip(*batch.columns):
+                if prefix.as_py() != place:
+                    if place is not None:
+                        yield done()
+                    place, low, counts, held = prefix.as_py(), [], [], 0
+                low.append(np.frombuffer(more.as_buffer(), np.uint32))
+                counts.append(np.frombuffer(n.as_buffer(), kind))
+                held += len(low[-1])
+                if held > _HELD:
+                    values, sums = added(low, counts)
+                    low, counts, held = [values], [sums], 0
+        if place is not None:
+            yield done()
+
+    return run
+
+
 RUNS = T.StructType([
     T.StructField("lang", T.StringType()), T.StructField("prefix", T.IntegerType()),
     T.StructField("phrases", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType()))])
@@ -470,9 +540,8 @@ def _gone_through(texts: DataFrame, kind: type[_LangText], filters: list[Bloom |
 def likely(texts: DataFrame, filters: list[Bloom | None], options: CollocationOptions) -> Bloom:
     """The filter of the next level: hashes that stand in ``min_count`` places."""
     found = _gone_through(texts, _Hashes, filters, options)
-    # Hashes of a task are distinct: adding up before the shuffle would find little.
-    return bloom_filter(found.repartition("h").groupBy("h").agg(F.sum("f").alias("f"))
-                        .where(F.col("f") >= options.min_count), options)
+    return bloom_filter(found.repartition("prefix").sortWithinPartitions("prefix")
+                        .mapInArrow(_often(options), "h long"), options)
 
 
 def frequent_phrases(docs: DataFrame, lang: str, text: str,

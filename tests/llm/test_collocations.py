@@ -69,7 +69,7 @@ def test_collocations(spark):
     rows = texts()
     # Small budgets: containers burst, subtrees leave, dictionaries start anew.
     for options in (c.CollocationOptions(filter_bits=16),
-                    c.CollocationOptions(filter_bits=6, prefixes=3, burst=4, entries=50, words=20, hashes=30, batch=64,
+                    c.CollocationOptions(filter_bits=6, hash_prefixes=4, prefixes=3, burst=4, entries=50, words=20, hashes=30, batch=64,
                                          segment=500, per_lang=7)):
         found = c.collocations(frame(spark, rows), options=options).collect()
         assert sorted(tuple(r) for r in found) == brute_force(rows, options.per_lang)
