@@ -23,12 +23,16 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 @dataclass(frozen=True)
 class QualityLimits:
-    """Limits of the rules; ``host_rate`` is the shrunk rate a host may reach."""
+    """Limits of the rules. A host may reach a shrunk rate of ``host_rate`` at most,
+    and of ``host_excess`` times the rate of all documents, which from ``host_floor``
+    on counts as excess."""
     min_words: int = 50
     repeat_percent: int = 50
     symbol_percent: int = 10
     dup_line_percent: int = 10
     host_rate: float = 0.5
+    host_excess: float = 3.0
+    host_floor: float = 0.2
     rules: tuple[str, ...] = field(
         default=("short", "repetitive", "symbols", "dup_lines"))
 
@@ -144,7 +148,9 @@ def host_rates(measured: DataFrame, host: str, limits: QualityLimits) -> DataFra
         a, b = beta_prior(totals["hosts"], totals["docs"] or 0, totals[f"{r}_k"] or 0,
                           totals["squared"] or 0.0, totals[f"{r}_w"] or 0.0)
         hosts = hosts.withColumn(f"{r}_rate", (F.col(f"{r}_failures") + a) / (n + (a + b)))
-        ok = ok & (F.col(f"{r}_rate") <= limits.host_rate)
+        overall = (totals[f"{r}_k"] or 0) / (totals["docs"] or 1)
+        most = min(limits.host_rate, max(limits.host_excess * overall, limits.host_floor))
+        ok = ok & (F.col(f"{r}_rate") <= most)
     return hosts.withColumn("host_ok", ok)
 
 
@@ -218,12 +224,12 @@ spread AS (
               ELSE ((wt - f * f / d) / ((f / d) * (1 - f / d)) - (h - 1))
                    / (d - sq / d - (h - 1)) END AS g FROM totals),
 priors AS (
-  SELECT rule,
+  SELECT rule, least(0.5, greatest(3.0 * p, 0.2)) AS most,
          CASE WHEN p IN (0, 1) THEN p + 1e-6 ELSE p * (1 / least(greatest(g, 1e-4), 0.999) - 1) END AS a,
          CASE WHEN p IN (0, 1) THEN 1 - p + 1e-6
               ELSE (1 - p) * (1 / least(greatest(g, 1e-4), 0.999) - 1) END AS b FROM spread),
 verdicts AS (
-  SELECT source, bool_and((k + a) / (n + (a + b)) <= 0.5) AS ok
+  SELECT source, bool_and((k + a) / (n + (a + b)) <= most) AS ok
   FROM failures JOIN priors USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        short OR repetitive AS base_failed,
