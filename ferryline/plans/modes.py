@@ -389,6 +389,12 @@ def _apply(staged: DataFrame, target, spec: LoadSpec, keys, strategy, state) ->
         target.append(counted.df if target.counts_rows else fresh, state or None)
         return counted.rows if target.counts_rows else None
 
+    if hasattr(target, "merge_by_statements") and not (widened or grown):
+        rows = incoming if strategy is MergeStrategy.DELETE_INSERT else dedupe_latest(
+            incoming, keys, spec.update_key)
+        target.merge_by_statements(rows, keys, strategy.value, spec.delete_missing)
+        return None
+
     seen = []
 
     def merged(target_rows: DataFrame) -> DataFrame:

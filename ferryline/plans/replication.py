@@ -17,6 +17,7 @@ from ..errors import TransferError
 from ..fs import ClusterFiles
 from ..sinks.files import format_of
 from ..sources.connections import Connection, resolve
+from ..sources.database import Database
 from .steps import HookMap, StepRunner, step_from, steps_to_dict
 from .transfer import join_path, local_form, transfer_for
 
@@ -142,7 +143,7 @@ class Replication:
             return [f"{prefix}{t.name}" for t in sorted(tables, key=lambda t: t.name)
                     if not t.isTemporary or not schema]
         if location.kind == "jdbc":
-            raise TransferError("wildcard streams are not available on database connections")
+            return Database(self.spark, location.url, location.properties).tables(name)
         return ClusterFiles(self.spark).glob(local_form(join_path(location, name)))
 
     # -- running -----------------------------------------------------------------

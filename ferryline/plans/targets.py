@@ -26,6 +26,7 @@ from ..operators.merge import any_null, key_rows
 from ..operators.shape import quoted
 from ..session import scratch_path
 from ..sinks.files import write_files
+from ..sources.database import Database, merge_statements
 
 BUCKET = "_bucket"
 
@@ -432,16 +433,31 @@ class JdbcTable:
     def _reader(self):
         return self.spark.read.format("jdbc").option("url", self.url).options(**self.properties)
 
+    @property
+    def database(self) -> Database:
+        return Database(self.spark, self.url, self.properties)
+
     def exists(self) -> bool:
-        try:
-            self.read().schema
-            return True
-        except Exception:  # drivers raise their own classes for unknown tables
-            return False
+        """From the database's catalog. A lost connection is an error: taken for an
+        absent table it would overwrite one."""
+        return self.database.has_table(self.table)
 
     def read(self) -> DataFrame:
         return self._reader().option("dbtable", self.table).load()
 
+    def merge_by_statements(self, source: DataFrame, keys, strategy: str,
+                            delete_missing: bool = False) -> None:
+        """Write the source rows to a table of their own, by many tasks, and merge
+        that table in one transaction: the target's other rows stay where they are."""
+        staging = f"{self.table}_in_{uuid.uuid4().hex[:12]}"
+        rows = JdbcTable(self.spark, self.url, staging, self.properties, self.options)
+        rows.append(source)
+        try:
+            self.database.run_together(merge_statements(
+                self.table, staging, keys, source.columns, strategy, delete_missing))
+        finally:
+            self.database.run_together([f"DROP TABLE {staging}"])
+
     def state(self) -> dict:
         return {}
 

@@ -164,15 +164,41 @@ def input_frame(spark: SparkSession, data, select=None) -> DataFrame:
     return select_columns(df, select, ignore_unknown=True) if select else df
 
 
-def ragged_records(df: DataFrame, body: str, names) -> DataFrame:
-    """JSON objects with differing keys -> the union of their keys as text
-    columns, absent keys null."""
+#: Keys that become columns; a table with more keeps the rest in one VARIANT column.
+KEY_COLUMNS = 2_000
+REST = "_rest"
+
+
+def ragged_records(df: DataFrame, body: str, names, rest: bool = False) -> DataFrame:
+    """JSON objects with differing keys -> the ``names`` among their keys as text
+    columns, absent keys null. With ``rest`` all other keys of a record are one
+    VARIANT object (null if there are none)."""
     kind = T.MapType(T.StringType(), T.StringType())
     parsed = df.withColumn("__map", F.from_json(F.col(body), kind))
-    return parsed.select(*[F.col("__map")[n].alias(n) for n in names])
+    columns = [F.try_element_at("__map", F.lit(n)).alias(n) for n in names]
+    if not rest:
+        return parsed.select(*columns)
+    own = F.split(F.lit("\x00".join(names)), "\x00")  # one literal, however many names
+    others = F.map_filter("__map", lambda k, v: ~F.array_contains(own, k))
+    left = F.when(F.size(others) > 0, F.try_parse_json(F.to_json(others)))
+    return parsed.select(*columns, left.alias(REST))
+
+
+def record_keys(df: DataFrame, body: str, most: int = KEY_COLUMNS) -> list[str]:
+    """The keys of the records, or the ``most`` frequent of them; in their order."""
+    return frequent_keys(df, body, most)[0]
+
+
+def frequent_keys(df: DataFrame, body: str, most: int = KEY_COLUMNS) -> tuple[list[str], bool]:
+    """The ``most`` frequent keys, and whether there are more. Keys are counted by
+    Spark; no more than ``most`` and one of them reach the driver."""
+    keys = df.select(F.explode(F.json_object_keys(F.col(body))).alias("k")).groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"))
+    found = [r["k"] for r in keys.orderBy(F.desc("n"), "k").limit(most + 1).collect()]
+    return sorted(found[:most]), len(found) > most
 
 
-def record_keys(df: DataFrame, body: str) -> list[str]:
-    """Every key that occurs in any record (a distributed distinct)."""
-    keys = df.select(F.explode(F.json_object_keys(F.col(body))).alias("k")).distinct()
-    return sorted(r["k"] for r in keys.collect())
+def ragged_frame(df: DataFrame, body: str, most: int = KEY_COLUMNS) -> DataFrame:
+    """All records of a text column as columns, whatever keys they have."""
+    names, more = frequent_keys(df, body, most)
+    return ragged_records(df, body, names, rest=more)

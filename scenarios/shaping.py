@@ -11,8 +11,7 @@ from ferryline.operators.schema import apply_typing, union_evolving
 from ferryline.session import scratch_path
 from ferryline.sinks.files import write_files
 from ferryline.sources.files import read_files
-from ferryline.sources.inputs import ragged_records as ragged
-from ferryline.sources.inputs import record_keys
+from ferryline.sources.inputs import ragged_frame
 
 from .base import path, read, scenario
 
@@ -329,7 +328,7 @@ def ragged_records(spark, sf_dir):
     bodies = read(spark, sf_dir, "events").select(F.expr("""
         if(event_type = 'purchase', to_json(named_struct('event_id', event_id, 'value', value)),
            to_json(named_struct('event_id', event_id, 'user_id', user_id)))""").alias("data"))
-    return ragged(bodies, "data", record_keys(bodies, "data"))
+    return ragged_frame(bodies, "data")
 
 
 # -- schema changes ------------------------------------------------------------------
