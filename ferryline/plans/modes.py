@@ -53,6 +53,7 @@ class LoadReport:
     rows_in: int | None = None
     rows_out: int | None = None
     detail: dict = field(default_factory=dict)
+    left_out: int = 0  # rows without an update key, which an append does not take again
 
 
 def mark_text(value, kind: T.DataType):
@@ -211,26 +212,27 @@ def incremental(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
         if mark is not None:
             key = shape.column(spec.update_key)
             # Rows without an update key are never above the mark. A merge by key
-            # takes them every time; an append would repeat them, so it does not.
-            rows = source.where((key > mark) | key.isNull() if keys else key > mark)
+            # takes them every time; an append would repeat them, so it only tells
+            # their number.
+            rows = source.where((key > mark) | key.isNull())
     if keys:
         return _merge_load(rows, target, spec, keys, Mode.INCREMENTAL)
     if not target.exists():
         return _write(target, rows, "replace", spec, Mode.INCREMENTAL)
-    # Rows that no mark can place are not taken again; their number is told.
-    unplaced = source.where(shape.column(spec.update_key).isNull()).count()
-    left_out = {"without_update_key": unplaced} if unplaced else {}
     have = target.read().schema
     schema = evolved_schema(have, rows.schema, spec.add_new_columns)
     rows = conform(rows, schema, spec.add_new_columns)
     counted = _Counted(rows, spec.update_key)
     staged = stage(counted.df, "extract", spec.staging)
-    if counted.rows == 0:
-        return LoadReport(Mode.INCREMENTAL.value, rows_in=0, rows_out=0, detail=left_out)
+    placed = staged.where(shape.column(spec.update_key).isNotNull())
+    taken = placed.count()
+    report = LoadReport(Mode.INCREMENTAL.value, rows_in=taken, rows_out=taken,
+                        left_out=counted.rows - taken)
+    if taken == 0:
+        return report
     high = _higher(staged, spec.update_key, target.state().get(HIGH_WATER), counted.high)
-    target.append(staged, {HIGH_WATER: high})
-    return LoadReport(Mode.INCREMENTAL.value, rows_in=counted.rows, rows_out=counted.rows,
-                      detail=left_out)
+    target.append(placed, {HIGH_WATER: high})
+    return report
 
 
 def backfill(source: DataFrame, target, spec: LoadSpec) -> LoadReport:

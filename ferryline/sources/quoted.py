@@ -123,7 +123,7 @@ def read_quoted(spark: SparkSession, paths, options: SourceOptions, names: list[
                                .otherwise(F.raise_error(F.concat(F.lit("malformed record: "), "text"))))
 
     def value(i: int, of: T.StructField):
-        text = F.get("fields", F.lit(i))
+        text = F.nullif(F.get("fields", F.lit(i)), F.lit(""))  # as Spark's own reader has it
         if options.null_if is not None:
             text = F.nullif(text, F.lit(options.null_if))
         return text.try_cast(of.dataType).alias(of.name)
