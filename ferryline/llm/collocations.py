@@ -370,7 +370,7 @@ def _count_type(options: CollocationOptions):
 
 
 #: Hashes of one prefix that are held before equal ones are added up.
-_HELD = 1 << 21
+_HELD = 1 << 19
 
 
 def _often(options: CollocationOptions):

@@ -32,7 +32,9 @@ THRESHOLD = 0.7
 MARGIN = 10.0
 
 #: Words whose score a task keeps; at the bound they are forgotten.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+#: Texts that are split into words at a time.
+TEXTS = 500
 
 
 @dataclass(frozen=True)
@@ -339,18 +341,21 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, text: str = "text",
     empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"),
-                       text_of(text).alias("__text"))
+    kept = list(keep or docs.columns)
+    # Where the row holds its text, the text is sent once.
+    inside = kept.count(text) == 1 and isinstance(docs.schema[text].dataType, T.StringType)
+    rows = docs.select(F.struct(*[F.col(c) for c in kept]).alias("row"),
+                       *([] if inside else [text_of(text).alias("__text")]))
     schema = T.StructType([rows.schema["row"], *SCORES])
 
     def run(batches):
         scored = _scorer(shared.value, {}, threshold)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 2_000):
-                columns = scored(texts[a:a + 2_000])
+            texts = batch.column(0).field(text) if inside else batch.column(1)
+            for a in range(0, len(texts), TEXTS):
+                columns = scored([t or "" for t in texts.slice(a, TEXTS).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, 2_000), *columns], schema.names)
+                    [batch.column(0).slice(a, TEXTS), *columns], schema.names)
 
     return rows.mapInArrow(run, schema)
 

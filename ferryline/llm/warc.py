@@ -312,7 +312,9 @@ def read_captures(found: DataFrame, folder: str, archives: str, id_type: T.DataT
         if block:
             yield from records(captures())
 
-    grouped = found.repartition("shard", "offset").sortWithinPartitions("shard", "offset")
+    # A fixed number of tasks: the keys are small, what is read for them is not.
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = found.repartition(tasks, "shard", "offset").sortWithinPartitions("shard", "offset")
     return (grouped.mapInArrow(run, schema)
             .withColumn("page_id", F.col("page_id").cast(id_type))
             .withColumn("refers_to", F.col("refers_to").cast(id_type)))
