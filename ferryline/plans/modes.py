@@ -99,6 +99,8 @@ def load(source: DataFrame, target, spec: LoadSpec) -> LoadReport:
         Mode.BACKFILL: backfill,
     }[mode]
     with staged_for_now(target.spark):  # copies go with the load, done or failed
+        if spec.staging and mode in (Mode.FULL_REFRESH, Mode.TRUNCATE, Mode.SNAPSHOT):
+            source = stage(source, "extract", spec.staging)  # the others stage what they merge
         return run(source, target, spec)
 
 

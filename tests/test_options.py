@@ -118,3 +118,15 @@ def test_streams_run_at_a_time(spark, tmp_path, monkeypatch, concurrency):
     assert [r["stream"] for r in report] == list(streams)
     assert [r["rows_in"] for r in report] == [1, 2, 3, 4, None] and report[4]["status"] == "error"
     assert most[0] == concurrency and all(groups)
+
+
+@pytest.mark.parametrize("mode", ["full-refresh", "truncate", "snapshot"])
+def test_whole_loads_go_through_the_named_staging_place(spark, scratch, tmp_path, mode):
+    spark.range(4).write.parquet(f"{tmp_path}/s.parquet")
+    target = f"file:{tmp_path}/t.parquet"
+    VersionedDataset(spark, target).replace(spark.range(0))
+    Transfer(src_stream=f"file:{tmp_path}/s.parquet", where="id > 0", tgt_object=target, mode=mode,
+             tgt_options={"table_tmp": f"{scratch}/tmp", "add_new_columns": True},
+             spark=spark).run()
+    assert spark.read.parquet(f"{scratch}/tmp").count() == 3
+    assert VersionedDataset(spark, target).read().count() == 3
