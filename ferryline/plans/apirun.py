@@ -24,7 +24,6 @@ from ..errors import TransferError
 from ..fs import ClusterFiles
 from ..functions.language import expression, rendered, rendered_state
 from ..functions.paths import extract_variants, record_schema
-from ..operators import shape
 from ..operators.joins import keyed_join
 from ..session import one_row
 from . import extract
