@@ -166,11 +166,16 @@ class Replication:
             queues.setdefault(self._target_of(name, config), []).append((name, config))
 
         def run_queue(queue) -> list[tuple]:
-            context = self.spark.sparkContext
-            done = []
-            for name, config in queue:
-                context.setJobGroup(name, f"stream {name}", interruptOnCancel=True)
-                done.append(self._run_stream(name, config, range, env, runner))
+            context, done = self.spark.sparkContext, []
+            group = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+            before = [context.getLocalProperty(key) for key in group]
+            try:
+                for name, config in queue:
+                    context.setJobGroup(name, f"stream {name}", interruptOnCancel=True)
+                    done.append(self._run_stream(name, config, range, env, runner))
+            finally:
+                for key, value in zip(group, before):
+                    context.setLocalProperty(key, value)
             return done
 
         workers = min(int(concurrency or self.concurrency or 1), max(1, len(queues)))
