@@ -130,7 +130,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The input rows, unchanged, that are not contaminated."""
+    """The input rows, unchanged and with all their columns, that are not contaminated.
+    Null and wordless texts stay; see :func:`contamination` for the rest."""
     found = contamination(docs, items, keep_row=True, **options)
     return found.where(~F.col("contaminated")).select("row.*")
 

@@ -366,7 +366,9 @@ def held_out(column: str = "doc_id") -> Column:
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, learn: Column, **options) -> DataFrame:
-    """The input rows, unchanged, that the fitted model does not reject."""
+    """The input rows, unchanged and with all their columns, that the fitted model
+    does not reject. Null and empty texts have the model's base rate; see
+    :func:`toxicity_scores` and :func:`fit_toxicity` for the rest."""
     model = fit_toxicity(docs, labels, learn, **options)
     return toxicity_scores(docs, model).where(F.col("predicted") == 0).select("row.*")
 
