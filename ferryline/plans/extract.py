@@ -67,9 +67,11 @@ def cut_pages(routed: DataFrame, at: Column, inclusive: bool, by=("endpoint",))
 
     One partial aggregate finds the cut of every endpoint; the one-row-per-
     endpoint result joins back, so a large endpoint is never sorted or grouped
-    in one task.
+    in one task. The cuts are stored first: while their size is unknown, the
+    join would shuffle the pages by endpoint, one task each, and where nothing
+    is cut, no skew handling splits them again.
     """
-    cuts = (routed.where(at).groupBy(*by).agg(F.min("page").alias("__cut")))
+    cuts = stage(routed.where(at).groupBy(*by).agg(F.min("page").alias("__cut")), "cuts")
     joined = keyed_join(routed, cuts, list(by), "left_outer")
     within = F.col("page") <= F.col("__cut") if inclusive else F.col("page") < F.col("__cut")
     return joined.where(F.col("__cut").isNull() | within).select(

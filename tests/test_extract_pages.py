@@ -2,10 +2,12 @@
 
 import json
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.plans import extract
 from ferryline.plans.apispec import Records
+from ferryline.plans.targets import stage
 
 ID = T.StructType([T.StructField("id", T.LongType())])
 
@@ -34,3 +36,28 @@ def test_limit_counts_distinct_records(spark):
         limit=2))
     assert found.columns == ["record_id", "name"]
     assert {tuple(r) for r in found.collect()} == {(1, "A"), (2, "B")}
+
+
+def test_pages_of_one_endpoint_stay_in_many_tasks(spark):
+    """Whether nothing, something or all is cut, one endpoint's pages are not
+    brought together in one task to be cut."""
+    pages = stage(spark.range(4000).repartition(8).select(
+        F.lit("e").alias("endpoint"), F.col("id").alias("page"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("body")), "pages")
+    kept_conf = {"spark.sql.autoBroadcastJoinThreshold": "100000",
+                 "spark.sql.files.maxPartitionBytes": "100000"}
+    before = {k: spark.conf.get(k) for k in kept_conf}
+    try:
+        for k, v in kept_conf.items():
+            spark.conf.set(k, v)
+        for at, most, n in (("page < 0", False, 4000), ("page = 3000", True, 3001),
+                            ("page >= 0", False, 0)):
+            kept = extract.cut_pages(pages, F.expr(at), inclusive=most).withColumn(
+                "task", F.spark_partition_id())
+            found = kept.agg(F.count("page"), F.max("page"), F.count_distinct("task")).first()
+            assert found[0] == n and found[1] == (n - 1 if n else None)
+            tasks = kept.rdd.glom().map(len).collect() if n else []
+            assert not n or max(tasks) < n
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
