@@ -10,7 +10,7 @@ import re
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,7 +141,8 @@ def file_heads(spark: SparkSession, paths, *extra) -> DataFrame:
     file: one scan, one small row per file and task."""
     place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        "value", place.alias("place"))
     head = F.min_by("value", F.when(F.trim("value") != "", F.col("place")))
     return lines.groupBy("file").agg(head.alias("head"), *extra).orderBy("file")
 
@@ -244,16 +245,75 @@ def malformed_rows(spark: SparkSession, paths, options: SourceOptions | dict | N
 # -- json ------------------------------------------------------------------------
 
 
-def json_documents(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
-    """(files of one JSON value each, files of a value per line), told apart by
-    each file's own first line that is not blank: whether it is a value by itself."""
-    first = file_heads(spark, paths)
+#: Blanks around a line.
+_BLANK = " \t"
+
+#: From this size on, files of one JSON value are looked at for a layout that splits.
+SPLIT_FROM = 64 << 20
+
+
+def json_documents(spark: SparkSession, paths) -> tuple[list[str], list[str], bool]:
+    """(files of one JSON value each, files of a value per line, whether one of the
+    first is large), told apart by each file's own first line that is not blank:
+    whether it is a value by itself."""
+    first = file_heads(spark, paths, F.max("size").alias("size"))
     line = F.trim("head")
     whole = line.startswith("[") | (
         line.startswith("{") & F.get_json_object("head", "$").isNull())
-    found = first.select("file", F.coalesce(whole, F.lit(False)).alias("whole")).collect()
+    found = first.select("file", "size", F.coalesce(whole, F.lit(False)).alias("whole")).collect()
     return ([file_pattern(r["file"]) for r in found if r["whole"]],
-            [file_pattern(r["file"]) for r in found if not r["whole"]])
+            [file_pattern(r["file"]) for r in found if not r["whole"]],
+            any(r["whole"] and r["size"] > SPLIT_FROM for r in found))
+
+
+def arrays_by_line(spark: SparkSession, paths) -> tuple[list[str], list[str]]:
+    """(files of an array with brackets and every element, an object, on lines of
+    their own, other files). Every line is judged, as JSON's reader would take it."""
+    line = F.btrim("value", F.lit(_BLANK))
+    comma = line.endswith(",")
+    end = "__ferryline_end"  # is the second element only where the line holds one value
+    pair = F.from_json(F.concat(F.lit("["), "value", F.when(comma, "").otherwise(","),
+                                F.lit(f'{{"{end}":true}}]')), f"array<struct<`{end}`: boolean>>")
+    lines = spark.read.text(paths).where(line != "").select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"),
+        F.col("_metadata.file_block_start").alias("block"), line.isin("[", "]").alias("bracket"),
+        (line == "[").alias("opens"), (line == "]").alias("closes"), comma.alias("comma"),
+        F.when(line.startswith("{") & F.is_valid_utf8("value"), pair).alias("pair"))
+    one = (F.size("pair") == 2) & F.get("pair", F.lit(1))[end]
+    blocks = lines.groupBy("file", "block").agg(
+        F.bool_and(F.col("bracket") | F.coalesce(one, F.lit(False))).alias("fits"),
+        F.min_by("opens", "id").alias("opens"), F.max_by("closes", "id").alias("closes"),
+        F.count_if("bracket").alias("brackets"),
+        F.count_if(~F.col("bracket") & ~F.col("comma")).alias("bare"),
+        F.max_by("comma", F.when(~F.col("bracket"), F.col("id"))).alias("comma"))
+    fits = (F.bool_and("fits") & F.min_by("opens", "block") & F.max_by("closes", "block")
+            & (F.sum("brackets") == 2) & (F.sum("bare") == 1)
+            & ~F.max_by("comma", F.when(F.col("comma").isNotNull(), F.col("block"))))
+    found = blocks.groupBy("file").agg(fits.alias("fits")).orderBy("file").collect()
+    return ([file_pattern(r["file"]) for r in found if r["fits"]],
+            [file_pattern(r["file"]) for r in found if not r["fits"]])
+
+
+def _read_values(spark, paths, reader, schema, large: bool) -> DataFrame:
+    """Files of one JSON value each. Spark reads such a file in one task; large
+    arrays whose elements have lines of their own are split between them."""
+    split, other = arrays_by_line(spark, paths) if large else ([], paths)
+    if not split or "_corrupt_record" in str(schema):
+        return reader(multiLine=True).json(paths)
+    if schema is None:  # of lines: the brackets are malformed, a comma behind a value is not read
+        schema = reader(mode="DROPMALFORMED").json(split).schema
+        if other and reader(multiLine=True).json(other).schema != schema:
+            schema = reader(multiLine=True).json(paths).schema
+        if not schema.names:
+            return reader(multiLine=True).json(paths)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bad = "__ferryline_line"
+    lines = (spark.read.schema(T.StructType([*schema.fields, T.StructField(bad, T.StringType())]))
+             .option("columnNameOfCorruptRecord", bad).json(split))
+    # A bracket has no values. Asking for one keeps the reader from being asked for no column.
+    rows = lines.where(shape.column(schema.names[0]).isNotNull() | F.col(bad).isNull()
+                       | ~F.btrim(bad, F.lit(_BLANK)).isin("[", "]")).drop(bad)
+    return rows.union(spark.read.schema(schema).json(other, multiLine=True)) if other else rows
 
 
 def _read_json(spark, paths, fmt, options, schema) -> DataFrame:
@@ -269,9 +329,9 @@ def _read_json(spark, paths, fmt, options, schema) -> DataFrame:
         return made.schema(schema) if schema else made
 
     if fmt == "json":
-        whole, lines = json_documents(spark, paths)
+        whole, lines, large = json_documents(spark, paths)
         if whole:
-            df = reader(multiLine=True).json(whole)
+            df = _read_values(spark, whole, reader, schema, large)
             return df.unionByName(reader().json(lines), allowMissingColumns=True) if lines else df
     if options.flatten or schema is not None:
         return reader().json(paths)
