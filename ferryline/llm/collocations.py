@@ -77,6 +77,13 @@ class HatTrie:
     def __init__(self, burst: int, longest: int):
         self.root, self.burst, self.longest, self.size = Branch(), burst, longest, 0
         self.sizes: dict[int, int] = {}
+        self.ends = np.zeros(0, np.int64)
+
+    def add_words(self, ids: np.ndarray) -> None:
+        """Phrases of one word end at the root, which counts them in an array by id."""
+        times = np.bincount(ids, minlength=len(self.ends))
+        times[:len(self.ends)] += self.ends
+        self.ends = times
 
     def add(self, first: np.ndarray, keys: np.ndarray) -> None:
         if not len(first):
@@ -136,8 +143,12 @@ class HatTrie:
 
     def take(self, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Removes the largest subtrees until ``keep`` entries are left: the first
-        ids, keys and counts they held."""
+        ids, keys and counts they held. With none left, the root's own counts go too."""
         words, lengths, keys, counts = [], [], [], []
+        if not keep:
+            words = np.flatnonzero(self.ends).tolist()
+            lengths, keys, counts = [1] * len(words), [0] * len(words), self.ends[words].tolist()
+            self.ends = np.zeros(0, np.int64)
         for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if self.size <= keep:
                 break
@@ -162,7 +173,7 @@ def _pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_ODD, _WORD = 0xD6E8FEB86659FD93, (1 << 64) - 1
+_ODD = 0xD6E8FEB86659FD93
 
 
 class Bloom:
@@ -171,7 +182,6 @@ class Bloom:
 
     def __init__(self, bits: np.ndarray, drop: int):
         self.bits, self.drop, self.mask = bits, drop, np.uint64(len(bits) * 8 - 1)
-        self._plain, self._mask = bits.tobytes(), len(bits) * 8 - 1
 
     @staticmethod
     def places(short: np.ndarray, mask: np.uint64) -> list[np.ndarray]:
@@ -180,16 +190,6 @@ class Bloom:
         step = (x >> np.uint64(40)) | np.uint64(1)
         return [(x + np.uint64(i) * step) & mask for i in range(3)]
 
-    def has(self, h: int) -> bool:
-        x = ((h >> self.drop) + 1) * _ODD & _WORD
-        x ^= x >> 32
-        step = x >> 40 | 1
-        for i in range(3):
-            p = x + i * step & self._mask
-            if not self._plain[p >> 3] >> (p & 7) & 1:
-                return False
-        return True
-
     def has_all(self, h: np.ndarray) -> np.ndarray:
         found = np.ones(len(h), bool)
         for p in self.places(h >> np.uint64(self.drop), self.mask):
@@ -223,21 +223,35 @@ def bloom_filter(hashes: DataFrame, options: CollocationOptions) -> Bloom:
 
 
 class _Words(dict):
-    """Word -> id; words that the filter does not know get 0, as breaks do."""
+    """Word -> id; breaks have 0. Which words the filter knows is found out for all
+    new ones together."""
 
     def __init__(self, lang: str, known: Bloom | None):
         super().__init__({_BREAK: 0})
         self.seed, self.known = lang_seed(lang), known
         self.names, self.hashes = [b""], [0]
+        self._hashed, self._kept = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def hashed(self) -> np.ndarray:
+        """The words' hashes by id; new ones are taken over from the list."""
+        if len(self._hashed) < len(self.hashes):
+            new = np.array(self.hashes[len(self._hashed):], np.uint64)
+            own = np.arange(len(self._hashed), len(self.hashes))
+            if self.known is not None:
+                own[~self.known.has_all(new)] = 0
+            self._hashed = np.concatenate([self._hashed, new])
+            self._kept = np.concatenate([self._kept, own])
+        return self._hashed
+
+    def kept(self, ids: np.ndarray) -> np.ndarray:
+        """The ids, 0 for words that the filter does not know."""
+        self.hashed()
+        return self._kept[ids]
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, self.seed)
-        if self.known is not None and not self.known.has(h):
-            self[word] = 0
-            return 0
         self[word] = n = len(self.names)
         self.names.append(word)
-        self.hashes.append(h)
+        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
         return n
 
 
@@ -277,12 +291,12 @@ class _LangText:
         ids = np.concatenate(self.waiting) if self.waiting else np.zeros(0, np.int64)
         self.waiting, self.n_waiting = [ids[-3:]], len(ids[-3:])
         if len(ids) > 3:
-            self.phrases(ids)
+            self.phrases(self.words.kept(ids))
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Length, starts and hashes of the phrases that the filters do not rule out."""
         n = len(ids) - 3
-        h = np.array(self.words.hashes, np.uint64)[ids]
+        h = self.words.hashed()[ids]
         at = np.flatnonzero(ids[:n] > 0)
         yield 1, at, h[at]
         _, pairs, longer = self.filters
@@ -338,11 +352,30 @@ class _Hashes(_LangText):
         self.held, self.size = [], 0
 
     def phrases(self, ids: np.ndarray) -> None:
+        if not self.level:  # words are counted by id
+            self._count(ids[:-3])
+            return
         for size, _, hashes in self.candidates(ids):
             if min(size, 3) == self.level + 1:
                 self.held.append(hashes)
                 self.size += len(hashes)
 
+    def _count(self, ids: np.ndarray) -> None:
+        times = np.bincount(ids)
+        times[:1] = 0
+        which = np.flatnonzero(times)
+        self.held.append((self.words.hashed()[which], times[which]))
+        self.size += len(which)
+
+    def _added(self) -> tuple[np.ndarray, np.ndarray]:
+        """The shortened hashes held and how often each stood there."""
+        drop = np.uint64(32 - self.options.hash_prefixes)
+        if self.level:
+            return np.unique(np.concatenate(self.held) >> drop, return_counts=True)
+        short, at = np.unique(np.concatenate([h for h, _ in self.held]) >> drop,
+                              return_inverse=True)
+        return short, np.bincount(at, np.concatenate([n for _, n in self.held]), len(short))
+
     @staticmethod
     def full(size: int, options: CollocationOptions) -> bool:
         return size > options.hashes
@@ -350,8 +383,7 @@ class _Hashes(_LangText):
     def leave(self, keep: int) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        drop = np.uint64(32 - self.options.hash_prefixes)
-        short, n = np.unique(np.concatenate(self.held) >> drop, return_counts=True)
+        short, n = self._added()
         self.held, self.size = [], 0
         prefix = (short >> np.uint64(32)).astype(np.int32)
         starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
@@ -433,6 +465,9 @@ class _Counts(_LangText):
     def phrases(self, ids: np.ndarray) -> None:
         first, keys = [], []
         for size, start, _ in self.candidates(ids):
+            if size == 1:
+                self.trie.add_words(ids[start])
+                continue
             key = np.zeros(len(start), np.int64)
             for k in range(1, size):
                 key |= ids[start + k] << (_TOP - (k - 1) * ID_BITS)
@@ -446,7 +481,7 @@ class _Counts(_LangText):
         first, keys, counts = self.trie.take(keep)
         if not len(first):
             return
-        names, h = self.words.names, np.array(self.words.hashes, np.uint64)
+        names, h = self.words.names, self.words.hashed()
         rank = np.zeros(len(names), np.int64)
         rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
         ids = [first, keys >> _TOP, keys >> ID_BITS & _ID, keys & _ID]

@@ -101,3 +101,32 @@ def test_trie_keeps_what_it_is_given():
     assert any(type(n) is c.Branch for n in trie.root.values())
     leave(0)
     assert given == expected and trie.size == 0
+
+
+def test_words_are_counted_at_the_root_and_known_ones_found_together():
+    """Single words are entries of no subtree; the filter is asked once for many
+    new words; whatever leaves in between, the sums stay."""
+    filter_bits, trie, expected = 12, c.HatTrie(8, 4), Counter()
+    for ids in (np.array([5, 1, 5, 3]), np.zeros(0, np.int64), np.array([9, 5])):
+        trie.add_words(ids)
+        expected.update(ids.tolist())
+    assert trie.size == 0 and not len(trie.take(1)[0])
+    first, keys, counts = trie.take(0)
+    assert dict(zip(first.tolist(), counts.tolist())) == expected and not keys.any()
+    assert not len(trie.take(0)[0])
+
+    names = [b"w%d" % i for i in range(200)]
+    words = c._Words("en", None)
+    hashes = np.array([(words[w], words.hashes[-1])[1] for w in names], np.uint64)
+    bits = np.zeros((1 << filter_bits) // 8, np.uint8)
+    for places in c.Bloom.places(hashes[::2] >> np.uint64(18), np.uint64((1 << filter_bits) - 1)):
+        np.bitwise_or.at(bits, places >> np.uint64(3),
+                         np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
+    known = c.Bloom(bits, 18)
+    words, found = c._Words("en", known), []
+    for part in (names[:70], names[70:]):
+        found.extend(words.kept(np.array([words[w] for w in part])).tolist())
+    fits = known.has_all(hashes)
+    assert fits[::2].all() and not fits.all()
+    assert [i > 0 for i in found] == fits.tolist()
+    assert words.kept(np.array([words[c._BREAK]])).tolist() == [0]
